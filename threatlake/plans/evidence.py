@@ -226,9 +226,9 @@ def extract_emails(spark, sf):
 @query("extract_context", "evidence", r'''
 SELECT _id, value, context, 'cve-context' AS extractor,
        CASE source_name WHEN 'hg-blogs' THEN 'json_rep.text' WHEN 'isi-news' THEN 'json_rep.readable_text' ELSE 'postContent' END AS field
-FROM (SELECT _id, source_name, found[i] AS value, substr(full_text, greatest(at - 20, 1), least(at - 1, 20) + length(found[i]) + 20) AS context
+FROM (SELECT _id, source_name, found[i] AS value, substr(full_text, greatest(pos - 20, 1), least(pos - 1, 20) + length(found[i]) + 20) AS context
       FROM (SELECT _id, source_name, full_text, found, i,
-                   1 + CAST(list_sum(list_transform(gaps[:i], lambda g: length(g))) + coalesce(list_sum(list_transform(found[:i - 1], lambda f: length(f))), 0) AS BIGINT) AS at
+                   1 + CAST(list_sum(list_transform(gaps[:i], lambda g: length(g))) + coalesce(list_sum(list_transform(found[:i - 1], lambda f: length(f))), 0) AS BIGINT) AS pos
             FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i
                   FROM (SELECT *, regexp_extract_all(full_text, '(?i)(cve-[0-9]{4}-[0-9]{4,7})', 1) AS found,
                                string_split_regex(full_text, '(?i)cve-[0-9]{4}-[0-9]{4,7}') AS gaps FROM evidence))))''')

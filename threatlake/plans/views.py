@@ -217,7 +217,8 @@ def sales_records(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     feeds = F.when(F.col("o_orderstatus") == "F", F.array(F.lit("shop"), F.lit("shop-mirror"))).otherwise(F.array(F.lit("shop")))
-    shop = orders.select(F.explode(feeds).alias("source_name"), body.alias("raw_content"))
+    # The body is built first: beside a generator the struct would lose the name of its last field.
+    shop = orders.select(feeds.alias("feeds"), body.alias("raw_content")).select(F.explode("feeds").alias("source_name"), "raw_content")
     return nation.unionByName(customer).unionByName(shop).withColumn("json_rep", F.try_parse_json("raw_content"))
 
 

@@ -44,8 +44,9 @@ def compare(spark, con, name: str, build, sql: str | None, sf: str) -> tuple[boo
         return False, f"columns {sorted(df.columns)} against {sorted(names)}"
     left, right = normal(got, df.columns), normal(want, names)
     if left != right:
-        only_left = [r for r in left if r not in set(right)][:3]
-        only_right = [r for r in right if r not in set(left)][:3]
+        in_left, in_right = set(left), set(right)
+        only_left = [r for r in left if r not in in_right][:3]
+        only_right = [r for r in right if r not in in_left][:3]
         return False, f"{len(left)} against {len(right)} rows\n   spark  {only_left}\n   duckdb {only_right}"
     kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
     spark_types = {f.name: kinds.get(f.dataType.simpleString(), "?") for f in df.schema.fields}
