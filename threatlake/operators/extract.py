@@ -51,18 +51,18 @@ def matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
-def matches_with_context(text: Column, pattern: str, width: int) -> Column:
-    """Matches as ``ARRAY<STRUCT<value, context>>``; context is ``width`` characters each way.
+def contexts(text: Column, values: Column, pattern: str, width: int) -> Column:
+    """The matches ``values`` as ``ARRAY<STRUCT<value, context>>``, ``width`` characters each way.
 
     Match positions come from the lengths of the pieces between matches, so that
-    neighbouring matches cannot swallow each other's context.
+    neighbouring matches cannot swallow each other's context. Text without
+    matches is not looked at again.
     """
-    values = matches(text, pattern)
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    steps = F.zip_with(values, gaps, lambda v, g: F.struct(v.alias("v"), g.alias("g")))
+    steps = F.zip_with(values, F.slice(gaps, 1, F.size(values)), lambda v, g: F.struct(v.alias("v"), g.alias("g")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
     starts = F.aggregate(
-        F.filter(steps, lambda s: s["v"].isNotNull()),
+        steps,
         start,
         lambda acc, s: F.struct(
             (acc["at"] + s["g"] + F.length(s["v"])).alias("at"),
@@ -78,9 +78,8 @@ def matches_with_context(text: Column, pattern: str, width: int) -> Column:
             F.substr(text, at - left + 1, left + F.length(value) + width).alias("context"),
         )
 
-    return F.when(F.size(values) > 0, F.zip_with(values, starts, cut)).otherwise(
-        F.array().cast("array<struct<value:string,context:string>>")
-    )
+    empty = F.array().cast("array<struct<value:string,context:string>>")
+    return F.when(F.size(values) > 0, F.zip_with(values, starts, cut)).otherwise(empty)
 
 
 def _json_text(path: str) -> Column:
@@ -122,14 +121,18 @@ def extract(cdr: DataFrame, *specs: ExtractorSpec) -> DataFrame:
     The route from feed to field is a column expression, so all feeds are read
     in one pass. Needs ``json_rep`` where a spec reads a JSON path.
     """
-    # Inputs are named first, so that each is computed once for its many uses.
-    named = cdr.withColumns({f"_in_{s.output}": input_text(s) for s in specs})
-    found = []
-    for spec in specs:
-        hits = matches_with_context(F.col(f"_in_{spec.output}"), spec.pattern, spec.context)
-        empty = F.array().cast("array<struct<value:string,context:string>>")
-        found.append(F.transform(F.coalesce(hits, empty), _described(spec)).alias(spec.output))
-    return named.withColumn("extractions", F.struct(*found)).drop(*[f"_in_{s.output}" for s in specs])
+    # Input and matches get columns of their own, so that each is computed once for its many uses.
+    named = cdr.withColumns({f"_in_{s.output}": input_text(s) for s in specs}).withColumns(
+        {f"_hits_{s.output}": matches(F.col(f"_in_{s.output}"), s.pattern) for s in specs}
+    )
+    found = [
+        F.transform(
+            contexts(F.col(f"_in_{s.output}"), F.col(f"_hits_{s.output}"), s.pattern, s.context), _described(s)
+        ).alias(s.output)
+        for s in specs
+    ]
+    helpers = [f"_{kind}_{s.output}" for s in specs for kind in ("in", "hits")]
+    return named.withColumn("extractions", F.struct(*found)).drop(*helpers)
 
 
 def extraction_rows(records: DataFrame, *outputs: str) -> DataFrame:

@@ -63,7 +63,7 @@ def _nodes(statements: DataFrame, spec: FrameSpec, cap: int, spill: list[DataFra
     own = statements.where(F.col("type") == spec.type).select("uri", "property", "value", "object_uri")
     if spec.explicit:
         own = own.where(F.col("property").isin(TYPE, *spec.props))
-    own = split_large(own.distinct(), "uri", statement_item(), cap)
+    own = split_large(own, "uri", statement_item(), cap)
 
     is_edge = F.col("property").isin(*edges) if edges else F.lit(False)
     rows = own.where(~is_edge).select("uri", "part", "parts", "property", F.coalesce("value", "object_uri").alias("value"))

@@ -49,34 +49,6 @@ def route(records: DataFrame, routes: DataFrame, max_routes: int = 100_000) -> D
     return records.join(broadcast_if_small(routes, max_routes), "source_name")
 
 
-def _statements_of(spec: MappingSpec) -> Column:
-    text, day = F.lit(None).cast("string"), F.lit(None).cast("date")
-    origin = [
-        F.coalesce(spec.publisher if spec.publisher is not None else text).alias("publisher"),
-        (spec.recorded if spec.recorded is not None else day).cast("date").alias("dateRecorded"),
-        (spec.observed if spec.observed is not None else day).cast("date").alias("observedDate"),
-    ]
-
-    def rows_of(name: str, items: Column, link: bool) -> Column:
-        def row(item: Column) -> Column:
-            value, target = (text, item) if link else (item, text)
-            return F.struct(F.lit(name).alias("property"), value.alias("value"), target.alias("object_uri"))
-
-        return F.transform(items, row)
-
-    rows = [rows_of(TYPE, F.array(F.lit(spec.type)), False)]
-    rows += [rows_of(name, _listed(column), False) for name, column in spec.properties.items()]
-    rows += [rows_of(name, _listed(column), True) for name, column in spec.links.items()]
-    kept = F.filter(F.concat(*rows), lambda s: s["value"].isNotNull() | s["object_uri"].isNotNull())
-    return F.transform(
-        kept,
-        lambda s: F.struct(
-            spec.uri.alias("uri"), F.lit(spec.type).alias("type"), s["property"].alias("property"), s["value"].alias("value"),
-            s["object_uri"].alias("object_uri"), F.col("source_name").alias("source"), *origin,
-        ),
-    )
-
-
 class many:
     """Marks a mapping column that holds an array of strings."""
 
@@ -84,19 +56,57 @@ class many:
         self.column = column
 
 
-def _listed(column: Column | many) -> Column:
-    if isinstance(column, many):
-        return F.coalesce(column.column.cast("array<string>"), F.array().cast("array<string>"))
-    return F.array(column.cast("string"))
+def _no(kind: str) -> Column:
+    return F.lit(None).cast(kind)
+
+
+def _item(name: str, value: Column, link: bool) -> Column:
+    value = value.cast("string")
+    return F.struct(
+        F.lit(name).alias("property"),
+        (_no("string") if link else value).alias("value"),
+        (value if link else _no("string")).alias("object_uri"),
+    )
+
+
+def _items(spec: MappingSpec) -> Column:
+    """All property and link items of a record, as one array of plain structs."""
+    single, arrays = [_item(TYPE, F.lit(spec.type), False)], []
+    for link, columns in ((False, spec.properties), (True, spec.links)):
+        for name, column in columns.items():
+            if isinstance(column, many):
+                listed = F.coalesce(column.column.cast("array<string>"), F.array().cast("array<string>"))
+                arrays.append(_many_items(name, listed, link))
+            else:
+                single.append(_item(name, column, link))
+    return F.concat(F.array(*single), *arrays) if arrays else F.array(*single)
+
+
+def _many_items(name: str, listed: Column, link: bool) -> Column:
+    return F.transform(listed, lambda v: _item(name, v, link))
 
 
 def statements(routed: DataFrame, specs: list[MappingSpec]) -> DataFrame:
     """Statements of routed records: one scan, whatever the number of models."""
-    chosen = None
-    for spec in specs:
-        here = F.col("model") == spec.model
-        rows = _statements_of(spec)
-        chosen = F.when(here, rows) if chosen is None else chosen.when(here, rows)
-    if chosen is None:
-        raise ValueError("no mapping specs")
-    return routed.select(F.inline(chosen)).where(F.col("uri").isNotNull()).select(*STATEMENT_COLUMNS)
+
+    def by_model(pick) -> Column:
+        chosen = None
+        for spec in specs:
+            here = F.col("model") == spec.model
+            chosen = F.when(here, pick(spec)) if chosen is None else chosen.when(here, pick(spec))
+        return chosen
+
+    def default(column: Column | None, nothing: Column) -> Column:
+        return nothing if column is None else column
+
+    about = routed.select(
+        by_model(lambda s: s.uri).alias("uri"),
+        by_model(lambda s: F.lit(s.type)).alias("type"),
+        F.col("source_name").alias("source"),
+        by_model(lambda s: default(s.publisher, _no("string"))).alias("publisher"),
+        by_model(lambda s: default(s.recorded, _no("date")).cast("date")).alias("dateRecorded"),
+        by_model(lambda s: default(s.observed, _no("date")).cast("date")).alias("observedDate"),
+        by_model(_items).alias("items"),
+    ).where(F.col("uri").isNotNull())
+    rows = about.select("uri", "type", "source", "publisher", "dateRecorded", "observedDate", F.inline("items"))
+    return rows.where(F.col("value").isNotNull() | F.col("object_uri").isNotNull()).select(*STATEMENT_COLUMNS)

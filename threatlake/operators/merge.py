@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import PROVENANCE, STATEMENT_COLUMNS
+from ..schema import PROVENANCE, STATEMENT, STATEMENT_COLUMNS
 from ..session import broadcast_if_small, cut_lineage
 
 
@@ -21,6 +21,17 @@ def merge(*inputs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, inputs).select(*STATEMENT_COLUMNS).distinct()
 
 
+def materialise(statements: DataFrame, path: str) -> DataFrame:
+    """Write merged statements once, in a folder per type, and read them back.
+
+    Framing reads the statements of a type several times; each time it then
+    reads that type's folder and the columns it needs, instead of mapping the
+    records again. The rebalance hint splits a type that most statements have.
+    """
+    merge(statements).hint("rebalance", "type").write.mode("overwrite").partitionBy("type").parquet(path)
+    return statements.sparkSession.read.schema(STATEMENT).parquet(path).select(*STATEMENT_COLUMNS)
+
+
 def ablate(
     statements: DataFrame,
     exclude: list[str] | None = None,
@@ -44,18 +55,19 @@ def part_of(item: Column, parts: Column) -> Column:
 
 
 def split_large(rows: DataFrame, key: str, item: Column, cap: int, max_broadcast: int = 200_000) -> DataFrame:
-    """Add ``part`` and ``parts``, so that ``(key, part)`` holds about ``cap`` rows at most.
+    """Add ``part`` and ``parts``, so that ``(key, part)`` holds about ``cap`` different items at most.
 
-    Keys with up to ``cap`` rows have one part. Degrees are counted with map-side
+    Keys with up to ``cap`` items have one part. Degrees are counted with map-side
     combining; only keys above the cap are kept, which is at most rows / cap.
     Their rows are spread by content, so nothing is dropped.
     """
-    large = cut_lineage(
-        rows.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > cap)
-        .select(key, F.ceil(F.col("_n") / cap).alias("_parts"))
-    )
+    counted = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    large = cut_lineage(counted.where(F.col("_n") > cap).select(key))
+    if not large.isEmpty():
+        # Repeats must not count, so the few candidates are counted again without them.
+        items = rows.join(broadcast_if_small(large, max_broadcast), key).select(key, item.alias("_item")).distinct()
+        exact = items.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > cap)
+        large = cut_lineage(exact.select(key, F.ceil(F.col("_n") / cap).alias("_parts")))
     if large.isEmpty():
         return rows.withColumns({"part": F.lit(0).cast("bigint"), "parts": F.lit(1).cast("bigint")})
     joined = rows.join(broadcast_if_small(large, max_broadcast), key, "left")

@@ -52,7 +52,7 @@ SELECT uri, CAST(0 AS BIGINT) AS part, any_value("type") AS types,
        string_agg(DISTINCT property || '=' || coalesce(value, object_uri), ';' ORDER BY property || '=' || coalesce(value, object_uri)) AS props,
        count(DISTINCT coalesce(publisher, '') || recorded || coalesce(observed, '')) AS sources FROM stm GROUP BY uri""")
 def merged_entities(spark, sf):
-    rows = merge.entities(v.sales_statements(spark, sf))
+    rows = merge.entities(v.sales_graph(spark, sf))
     cells = F.transform(F.map_entries("props"), lambda e: F.transform(e["value"], lambda x: F.concat_ws("=", e["key"], x)))
     return rows.select(
         "uri", "part", F.array_join("types", ",").alias("types"), F.array_join(F.array_sort(F.flatten(cells)), ";").alias("props"),
@@ -69,7 +69,7 @@ def ablate_evidence(spark, sf):
 @query("frame_documents", "order_docs", "SELECT doc_type, uri, CAST(part AS BIGINT) AS part, doc FROM order_docs")
 def frame_documents(spark, sf):
     """Orders with their customer and the customer's nation nested in."""
-    return frames.frame(v.sales_statements(spark, sf), "order", ORDER_FRAME)
+    return frames.frame(v.sales_graph(spark, sf), "order", ORDER_FRAME)
 
 
 @query("frame_large_entities", "", f"""
@@ -119,7 +119,7 @@ def state_upsert_new(spark, sf):
 @query("frame_delta", "order_docs", "SELECT uri, CAST(part AS BIGINT) AS part, doc FROM order_docs WHERE strftime(o_orderdate, '%Y-%m-%d') > '1996-01-01'")
 def frame_delta(spark, sf):
     """Documents that are new or changed since the evidence of an earlier day."""
-    rows = v.sales_statements(spark, sf)
+    rows = v.sales_graph(spark, sf)
     before = frames.frame(merge.ablate(rows, upto=SPLIT_DAY), "order", ORDER_FRAME)
     return state.changed_documents(frames.frame(rows, "order", ORDER_FRAME), before).select("uri", "part", "doc")
 
@@ -138,6 +138,6 @@ def rekey_documents(spark, sf):
 def publish_documents(spark, sf):
     """Framed, saved by type, published as JSON lines in batches, and read back."""
     saved, out = scratch_path(spark, "frames"), scratch_path(spark, "published")
-    publish.save_frames(frames.frame(v.sales_statements(spark, sf), "order", ORDER_FRAME), saved)
+    publish.save_frames(frames.frame(v.sales_graph(spark, sf), "order", ORDER_FRAME), saved)
     publish.publish(spark, saved, out)
     return spark.read.schema("uri string, part bigint, doc string").json(f"{out}/order")

@@ -62,6 +62,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table that comes in fewer files than there are cores over all cores.
+
+    For inputs whose records are costly to work on. Tables of many files, as on a
+    cluster, stay as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after counting at most ``max_rows + 1`` rows.
 
