@@ -143,7 +143,9 @@ def extraction_rows(records: DataFrame, *outputs: str) -> DataFrame:
         kind = F.lit(output).alias("kind")
         return F.transform(f"extractions.{output}", lambda h: F.struct(kind, *[h[c].alias(c) for c in columns]))
 
-    return records.select("_id", "source_name", F.inline(F.concat(*[tagged(o) for o in outputs])))
+    # The outer form, since the inner one has the planner test the size on a second copy of the extraction.
+    rows = records.select("_id", "source_name", F.inline_outer(F.concat(*[tagged(o) for o in outputs])))
+    return rows.where(F.col("value").isNotNull())
 
 
 def cleaned_text(path: str) -> Column:

@@ -1,4 +1,8 @@
-"""Analytics over ground-truth attack events."""
+"""Analytics over ground-truth attack events.
+
+Lists are unfolded with the outer generators and filtered after: the inner ones
+have the planner test each list's size on a second copy of its expression.
+"""
 
 from __future__ import annotations
 
@@ -96,7 +100,8 @@ def sensor_counts(events: DataFrame) -> DataFrame:
     )
     named = F.col("detector").isNotNull() | F.col("classification_text").isNotNull()
     return (
-        events.select(F.explode(F.when(named, F.array(direct)).otherwise(details)).alias("sensor"))
+        events.select(F.explode_outer(F.when(named, F.array(direct)).otherwise(details)).alias("sensor"))
+        .where(F.col("sensor").isNotNull())
         .groupBy("sensor")
         .agg(F.count("*").alias("n"))
     )
@@ -115,7 +120,8 @@ def target_counts(events: DataFrame) -> DataFrame:
     )
     listed = F.coalesce("target_entity", F.when(F.col("target_organization").isNotNull(), F.array(F.lit(UNKNOWN))))
     plain = F.transform(listed, lambda t: F.struct(t.alias("target"), F.lit(None).cast("bigint").alias("user_number")))
-    return events.select(F.inline(F.coalesce(plain, users))).groupBy("target", "user_number").agg(F.count("*").alias("n"))
+    rows = events.select(F.inline_outer(F.coalesce(plain, users))).where(F.col("target").isNotNull())
+    return rows.groupBy("target", "user_number").agg(F.count("*").alias("n"))
 
 
 def anonymous_targets(counts: DataFrame) -> DataFrame:
@@ -127,7 +133,8 @@ def anonymous_targets(counts: DataFrame) -> DataFrame:
 
 
 def recipient_counts(events: DataFrame) -> DataFrame:
-    return events.select(F.explode("target_entity").alias("recipient")).groupBy("recipient").agg(F.count("*").alias("n"))
+    recipients = events.select(F.explode_outer("target_entity").alias("recipient")).where(F.col("recipient").isNotNull())
+    return recipients.groupBy("recipient").agg(F.count("*").alias("n"))
 
 
 def email_host_days(events: DataFrame) -> DataFrame:
@@ -137,7 +144,7 @@ def email_host_days(events: DataFrame) -> DataFrame:
     """
     hosts = (
         events.where(F.col("event_type") == EMAIL_EVENT)
-        .select(F.date_format(_time(), "yyyy/MM/dd").alias("day"), F.explode("addresses").alias("a"))
+        .select(F.date_format(_time(), "yyyy/MM/dd").alias("day"), F.explode_outer("addresses").alias("a"))
         .select(address_host(F.col("a.url"), F.col("a.ip")).alias("host"), "day")
         .where(F.col("host").isNotNull() & F.col("day").isNotNull())
         .distinct()
@@ -176,8 +183,8 @@ def attribute_values(events: DataFrame) -> DataFrame:
         "email_subject": F.array("email_subject"),
         "files_filename": F.col("files"),
     }
-    pairs = F.concat(*[_pairs(name, columns.get(name, F.col(name) if name not in columns else None)) for name in ATTRIBUTES])
-    return events.select("occurred", F.inline(pairs)).where(F.col("value").isNotNull()).select("attribute", "value", "occurred")
+    pairs = F.concat(*[_pairs(name, columns[name] if name in columns else F.col(name)) for name in ATTRIBUTES])
+    return events.select("occurred", F.inline_outer(pairs)).where(F.col("value").isNotNull()).select("attribute", "value", "occurred")
 
 
 def value_occurrences(values: DataFrame) -> DataFrame:

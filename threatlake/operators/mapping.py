@@ -108,5 +108,6 @@ def statements(routed: DataFrame, specs: list[MappingSpec]) -> DataFrame:
         by_model(lambda s: default(s.observed, _no("date")).cast("date")).alias("observedDate"),
         by_model(_items).alias("items"),
     ).where(F.col("uri").isNotNull())
-    rows = about.select("uri", "type", "source", "publisher", "dateRecorded", "observedDate", F.inline("items"))
+    # The outer form, since the inner one has the planner test the items' size on a second copy of them.
+    rows = about.select("uri", "type", "source", "publisher", "dateRecorded", "observedDate", F.inline_outer("items"))
     return rows.where(F.col("value").isNotNull() | F.col("object_uri").isNotNull()).select(*STATEMENT_COLUMNS)

@@ -26,7 +26,8 @@ def explode_events(docs: DataFrame) -> DataFrame:
         F.try_variant_get(rep, "$", "array<variant>"),
         lambda e: F.try_variant_get(e, "$.ground_truth", "variant"),
     )
-    return docs.select("file", F.posexplode(F.coalesce(listed, wrapped)).alias("place", "event")).where(
+    # The outer form: the inner one would parse the text a second time to test for empty lists.
+    return docs.select("file", F.posexplode_outer(F.coalesce(listed, wrapped)).alias("place", "event")).where(
         F.col("event").isNotNull()
     )
 
