@@ -243,6 +243,11 @@ def test_attribute_paths(spark):
     assert {r["path"] for r in profile.attribute_paths(cdr).collect()} == {"a", "b.e.f", "affected_products", "n"}
 
 
+def test_observed_counts_come_with_the_action(spark):
+    rows, seen = profile.observed(spark.range(10), "stage", odd=F.count_if(F.col("id") % 2 == 1))
+    assert rows.where("id > 100").count() == 0 and seen.get == {"rows": 10, "odd": 5}
+
+
 def test_frame_definitions_give_properties_per_type(spark, tmp_path):
     (tmp_path / "malware.json").write_text(json.dumps({"@type": "M", "@explicit": True, "a": {}, "name": {}, "p": {"@type": "V", "name": {}}}))
     assert frames.typed_properties(frames.read_frames(spark, str(tmp_path))) == [("M", "name"), ("M", "p"), ("V", "name")]

@@ -9,12 +9,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small, cut_lineage
 from .mapping import TYPE
 from .merge import split_large, statement_item
 
 # Keys of a frame definition that are not properties.
 FRAME_KEYS = ("@explicit", "@type", TYPE)
 
+# Uri lists up to this long are broadcast, longer ones are joined by shuffling.
+MAX_URIS = 1_000_000
+
 
 @dataclass(frozen=True)
 class FrameSpec:
@@ -53,8 +57,10 @@ def of_types(statements: DataFrame, types: set[str]) -> DataFrame:
     return statements.where(F.col("type").isin(*sorted(types)))
 
 
-def _nodes(statements: DataFrame, spec: FrameSpec, cap: int, spill: list[DataFrame]) -> DataFrame:
-    """``(uri, part, parts, node)`` for every entity of the frame's type.
+def _nodes(
+    statements: DataFrame, spec: FrameSpec, cap: int, spill: list[DataFrame], only: DataFrame | None = None
+) -> DataFrame:
+    """``(uri, part, parts, node)`` for the entities of the frame's type, or ``only`` some.
 
     Large entities of inner frames are appended to ``spill``.
     """
@@ -63,18 +69,22 @@ def _nodes(statements: DataFrame, spec: FrameSpec, cap: int, spill: list[DataFra
     own = statements.where(F.col("type") == spec.type).select("uri", "property", "value", "object_uri")
     if spec.explicit:
         own = own.where(F.col("property").isin(TYPE, *spec.props))
+    if only is not None:
+        own = own.join(broadcast_if_small(only, MAX_URIS), "uri", "left_semi")
     own = split_large(own, "uri", statement_item(), cap)
 
     is_edge = F.col("property").isin(*edges) if edges else F.lit(False)
     rows = own.where(~is_edge).select("uri", "part", "parts", "property", F.coalesce("value", "object_uri").alias("value"))
     for name, inner in edges.items():
-        child = _nodes(statements, inner, cap, spill)
+        edge = own.where((F.col("property") == name) & F.col("object_uri").isNotNull())
+        reached = None if only is None else cut_lineage(edge.select(F.col("object_uri").alias("uri")).distinct())
+        child = _nodes(statements, inner, cap, spill, reached)
         spill.append(
             child.where(F.col("parts") > 1).select(F.lit(inner.type).alias("doc_type"), "uri", "part", F.to_json("node").alias("doc"))
         )
         # A child of several parts is linked by uri; its parts are documents of their own.
         single = child.where(F.col("parts") == 1).select(F.col("uri").alias("object_uri"), F.col("node").alias("child"))
-        linked = own.where((F.col("property") == name) & F.col("object_uri").isNotNull()).select("uri", "part", "parts", "object_uri")
+        linked = edge.select("uri", "part", "parts", "object_uri")
         bare = F.struct(
             F.col("object_uri").alias("uri"),
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in child.schema["node"].dataType.fields[1:]],
@@ -100,15 +110,35 @@ def _nodes(statements: DataFrame, spec: FrameSpec, cap: int, spill: list[DataFra
     return nodes.select("uri", "part", "parts", F.struct("uri", *fields).alias("node"))
 
 
-def frame(statements: DataFrame, doc_type: str, spec: FrameSpec, cap: int = 1000) -> DataFrame:
+def affected(statements: DataFrame, spec: FrameSpec, changed: DataFrame) -> DataFrame:
+    """Entities of the frame's type whose documents a change can reach, as ``uri``.
+
+    These are the changed ones and those that link, over the frame's embedded
+    links, to a changed one. ``changed`` is a stored table of distinct uris.
+    """
+    own = of_types(statements, {spec.type})
+    hit = own.join(broadcast_if_small(changed, MAX_URIS), "uri", "left_semi").select("uri")
+    for name, inner in spec.props.items():
+        # Links without a frame show only the uri, which a change of its entity leaves alone.
+        if inner is not None:
+            reached = broadcast_if_small(affected(statements, inner, changed), MAX_URIS).withColumnRenamed("uri", "object_uri")
+            edge = own.where(F.col("property") == name)
+            hit = hit.unionByName(edge.join(reached, "object_uri", "left_semi").select("uri"))
+    return cut_lineage(hit.distinct())
+
+
+def frame(
+    statements: DataFrame, doc_type: str, spec: FrameSpec, cap: int = 1000, only: DataFrame | None = None
+) -> DataFrame:
     """Documents ``(doc_type, uri, part, doc)`` of one frame.
 
     An entity with more than ``cap`` statements comes as several parts. Where such
     an entity is linked from others it is not copied into each of them: it stays
-    a uri there, and its parts are added as documents of its own type.
+    a uri there, and its parts are added as documents of its own type. ``only``
+    limits the documents to some root entities, given as distinct ``uri``.
     """
     spill: list[DataFrame] = []
-    root = _nodes(of_types(statements, spec.types()), spec, cap, spill)
+    root = _nodes(of_types(statements, spec.types()), spec, cap, spill, only)
     docs = root.select(F.lit(doc_type).alias("doc_type"), "uri", "part", F.to_json("node").alias("doc"))
     for extra in spill:
         docs = docs.unionByName(extra)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import broadcast_if_small, cut_lineage
 
+MAX_OFFSETS = 1_000_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the place in the lower 33 bits
 
 
@@ -27,7 +28,8 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str = "
     spans = placed.groupBy("_part", *group).agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    renamed = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in offsets.columns])
+    # One row per group and partition it reaches into: the range ends, not the rows.
+    renamed = broadcast_if_small(offsets.select(*[F.col(c).alias(f"_o_{c}") for c in offsets.columns]), MAX_OFFSETS)
     same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in ["_part", *group]]
     number: Column = F.col("_id") - F.col("_o__first") + F.col("_o__before") + 1
     return placed.join(renamed, same).select(*df.columns, number.cast("bigint").alias(name))

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Fixed value: an attribute that is listed but not looked into.
@@ -48,6 +48,16 @@ def attribute_paths(cdr: DataFrame) -> DataFrame:
     return json_only.mapInPandas(_partition_paths, "source_name string, path string").distinct()
 
 
+def observed(rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Count rows, and more if asked, while another action runs over them.
+
+    Read the numbers with ``Observation.get`` after that action; no job of its own
+    is needed for them.
+    """
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]), seen
+
+
 def source_schemas(cdr_with_json: DataFrame) -> DataFrame:
     """The merged JSON schema of each feed."""
     return cdr_with_json.where(F.col("json_rep").isNotNull()).groupBy("source_name").agg(

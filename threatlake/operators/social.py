@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import format_tweet_time, parse_tweet_time
+from ..functions.dates import epoch_day, format_tweet_time, parse_tweet_time
 from ..functions.text import quoted_list
 from .numbering import page
 
@@ -46,7 +46,7 @@ def filter_tweets(
 
 def filter_dates(tweets: DataFrame, lo: dt.date | None, hi: dt.date, day: Column | None = None) -> DataFrame:
     """Tweets of a range of days: by ``day`` (the file's date) or by their own time."""
-    day = F.to_date(parse_tweet_time(F.col("created_at"))) if day is None else day
+    day = epoch_day(F.unix_seconds(parse_tweet_time(F.col("created_at")))) if day is None else day
     kept = tweets.where(day <= F.lit(hi))
     return kept if lo is None else kept.where(day >= F.lit(lo))
 

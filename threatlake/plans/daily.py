@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit
 from ..operators.extract import CVE, MSID, ExtractorSpec, extract
-from ..operators.frames import FrameSpec, frame
+from ..operators.frames import FrameSpec, affected, frame
 from ..operators.mapping import MappingSpec, route, statements
 from ..operators.publish import save_frames, unique_documents
 from ..operators.state import changed_documents, exists, increment_folder, point_to, pointed, read_state, stage, upsert
+from ..session import cut_lineage
 from ..sources.cdr import since, with_json
 
+DOCUMENT = ["doc_type", "uri"]
+
 
 def refresh(
     spark: SparkSession,
@@ -31,8 +35,9 @@ def refresh(
 
     Without a mark all records are taken. Every stage is saved under its increment
     and skipped when an earlier run finished it. Statements merge into the store,
-    so increments give the same documents as one full run. Documents are framed
-    from the whole store; the ones that differ from the last version are the delta.
+    so increments give the same documents as one full run. After the first run only
+    the documents that new statements can reach are framed again; the others are
+    carried over. The delta holds the documents that came out different.
     """
     picked = since(cdr, mark)
     extracted = stage(
@@ -40,28 +45,37 @@ def refresh(
         increment_folder(f"{out}/extractions", mark),
         lambda: extract(with_json(picked), *extractors).drop("json_rep"),
     )
-    upsert(spark, f"{out}/state", str(mark), statements(route(with_json(extracted), routes), models))
-
-    def build() -> DataFrame:
-        merged = read_state(spark, f"{out}/state")
-        docs = None
-        for name, spec in frames.items():
-            framed = frame(merged, name, spec)
-            docs = framed if docs is None else docs.unionByName(framed)
-        return unique_documents(docs)
+    fresh = upsert(spark, f"{out}/state", str(mark), statements(route(with_json(extracted), routes), models))
 
     version, pointer = increment_folder(f"{out}/documents", mark), f"{out}/documents/current"
     before = pointed(spark, pointer) if exists(spark, pointer) else None
-    docs = stage(spark, version, build)
+    if before == version:
+        return spark.read.parquet(increment_folder(f"{out}/delta", mark))
+    merged = read_state(spark, f"{out}/state")
+    old = None if before is None else spark.read.parquet(before)
+    uris = cut_lineage(fresh.select("uri").distinct())
+
+    def framed() -> DataFrame:
+        docs = []
+        for name, spec in frames.items():
+            only = None if old is None else affected(merged, spec, uris)
+            docs.append(frame(merged, name, spec, only=only))
+        return unique_documents(reduce(DataFrame.unionByName, docs))
+
+    again = stage(spark, increment_folder(f"{out}/framed", mark), framed)
+    delta = stage(spark, increment_folder(f"{out}/delta", mark), lambda: again if old is None else changed_documents(again, old))
+    save_frames(delta, increment_folder(f"{out}/frames", mark))
 
-    def delta() -> DataFrame:
-        return docs if before is None else changed_documents(docs, spark.read.parquet(before))
+    def whole() -> DataFrame:
+        if old is None:
+            return again
+        # All old parts of a document go, since it may come in other parts now.
+        replaced = again.select(*DOCUMENT).distinct()
+        return again.unionByName(old.join(replaced, DOCUMENT, "left_anti").select(*again.columns))
 
-    changed = stage(spark, increment_folder(f"{out}/delta", mark), delta)
-    if before != version:
-        save_frames(changed, increment_folder(f"{out}/frames", mark))
-        point_to(spark, pointer, version)
-    return changed
+    stage(spark, version, whole)
+    point_to(spark, pointer, version)
+    return delta
 
 
 def audit_day(spark: SparkSession, cdr: DataFrame, out: str, policy: DataFrame, as_of: dt.date) -> DataFrame:

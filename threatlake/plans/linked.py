@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import frames, merge, profile, publish, state
 from ..schema import STATEMENT_COLUMNS
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from . import views as v
 from .registry import query
 
@@ -124,6 +124,26 @@ def frame_delta(spark, sf):
     return state.changed_documents(frames.frame(rows, "order", ORDER_FRAME), before).select("uri", "part", "doc")
 
 
+@query("frame_affected", "order_docs", "SELECT uri, CAST(part AS BIGINT) AS part, doc FROM order_docs WHERE strftime(o_orderdate, '%Y-%m-%d') > '1996-01-01'")
+def frame_affected(spark, sf):
+    """Only the documents that the statements of later days can have changed are framed."""
+    rows = v.sales_graph(spark, sf)
+    fresh = cut_lineage(rows.where(F.col("observedDate") > F.lit(SPLIT_DAY)).select("uri").distinct())
+    roots = frames.affected(rows, ORDER_FRAME, fresh)
+    return frames.frame(rows, "order", ORDER_FRAME, only=roots).select("uri", "part", "doc")
+
+
+@query("frame_affected_by_link", "order_docs", """
+SELECT uri, CAST(part AS BIGINT) AS part, doc FROM order_docs JOIN orders ON uri = 'order/' || o_orderkey JOIN customer ON o_custkey = c_custkey
+WHERE c_nationkey = 7""")
+def frame_affected_by_link(spark, sf):
+    """A change to one nation reaches the orders of its customers, two links away."""
+    rows = v.sales_graph(spark, sf)
+    nation = rows.where((F.col("type") == "Nation") & (F.col("uri") == "nation/7")).select("uri").distinct()
+    roots = frames.affected(rows, ORDER_FRAME, nation)
+    return frames.frame(rows, "order", ORDER_FRAME, only=roots).select("uri", "part", "doc")
+
+
 @query("rekey_documents", "", """
 SELECT sha256('customer/' || c_custkey) AS doc_id, '{"Customer_Party":{"name":"' || c_name || '","uri":"customer/' || c_custkey || '"}}' AS doc FROM customer""")
 def rekey_documents(spark, sf):

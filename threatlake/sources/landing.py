@@ -45,15 +45,17 @@ def land(raw: DataFrame, feed: FeedSpec, landed_at: int) -> DataFrame:
     return envelope(raw, F.lit(feed.source_name), F.lit(feed.team), F.lit(landed_at))
 
 
-def drop_known(batch: DataFrame, cdr: DataFrame) -> DataFrame:
+def drop_known(batch: DataFrame, cdr: DataFrame, *sources: str) -> DataFrame:
     """Records of the batch whose id the table does not hold, each id once.
 
-    Both sides shrink to one row per id with map-side combining before they
-    meet, so a record pulled many times does not load one task.
+    Ids start with the feed's name, so the feeds of the batch, where given, bound
+    what is read of the table. Both sides shrink to one row per id with map-side
+    combining before they meet, so a record pulled many times does not load one task.
     """
-    return batch.dropDuplicates(["_id"]).join(cdr.select("_id").distinct(), "_id", "left_anti").select(
-        *batch.columns
-    )
+    if sources:
+        cdr = cdr.where(F.col("source_name").isin(*sources))
+    known = cdr.select("_id").distinct()
+    return batch.dropDuplicates(["_id"]).join(known, "_id", "left_anti").select(*batch.columns)
 
 
 def write_cdr(records: DataFrame, path: str, mode: str = "append") -> None:
