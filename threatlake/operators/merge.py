@@ -89,15 +89,17 @@ def entities(statements: DataFrame, cap: int = 1000) -> DataFrame:
     """
     cells = statements.select("uri", "property", F.coalesce("value", "object_uri").alias("value"), *PROVENANCE, "type")
     cells = split_large(cells, "uri", F.concat_ws("|", "property", "value"), cap)
-    # Placed by (uri, part) once; both aggregations then run without another exchange.
-    placed = cells.repartition("uri", "part")
-    per_property = placed.groupBy("uri", "part", "parts", "property").agg(
-        F.array_sort(F.collect_set("value")).alias("values"),
-        F.collect_set("type").alias("types"),
-        F.collect_set(F.struct(*PROVENANCE)).alias("provenance"),
-    )
-    return per_property.groupBy("uri", "part", "parts").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("types")))).alias("types"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("property", "values")))).alias("props"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("provenance")))).alias("provenance"),
+    grouped = cells.groupBy("uri", "part", "parts").agg(
+        F.array_sort(F.collect_set("type")).alias("types"),
+        F.array_sort(F.collect_set(F.struct("property", "value"))).alias("pairs"),
+        F.array_sort(F.collect_set(F.struct(*PROVENANCE))).alias("provenance"),
     )
+    # One shuffle; the pairs of a part, about ``cap`` at most, are then grouped in place.
+    names = F.array_distinct(F.transform("pairs", lambda p: p["property"]))
+    props = F.map_from_arrays("names", F.transform("names", _values_of))
+    return grouped.withColumn("names", names).select("uri", "part", "parts", "types", props.alias("props"), "provenance")
+
+
+def _values_of(name: Column) -> Column:
+    of_name = F.filter(F.col("pairs"), lambda p: p["property"] == name)
+    return F.transform(of_name, lambda p: p["value"])

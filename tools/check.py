@@ -58,6 +58,7 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("--show", action="store_true", help="print the physical plans instead")
+    parser.add_argument("--zone", default="UTC", help="session time zone; results must not depend on it")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
 
@@ -65,6 +66,7 @@ def main() -> int:
     from threatlake.session import build_session
 
     spark = build_session("check", "local[8]", **{"spark__sql__shuffle__partitions": "8", "spark__driver__memory": "8g"})
+    spark.conf.set("spark.sql.session.timeZone", args.zone)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     failed = []
