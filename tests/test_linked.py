@@ -157,12 +157,12 @@ def test_daily_refresh_incremental_equals_full(spark, tmp_path):
         return rows_of(spark.read.parquet(state.pointed(spark, f"{out}/documents/current")))
 
     full, steps = str(tmp_path / "full"), str(tmp_path / "steps")
-    refresh(spark, cdr, full, routes, [blog], spec)
-    refresh(spark, cdr.where("timestamp <= 7"), steps, routes, [blog], spec)
-    changed = refresh(spark, cdr, steps, routes, [blog], spec, mark=7)
+    refresh(spark, cdr, full, routes, [blog], spec, buckets=4)
+    refresh(spark, cdr.where("timestamp <= 7"), steps, routes, [blog], spec, buckets=4)
+    changed = refresh(spark, cdr, steps, routes, [blog], spec, mark=7, buckets=4)
     assert current(steps) == current(full)
     assert [r["uri"] for r in changed.collect()] == ["blog/2"]
-    assert refresh(spark, cdr, steps, routes, [blog], spec, mark=7).count() == 1  # run again: nothing new happens
+    assert refresh(spark, cdr, steps, routes, [blog], spec, mark=7, buckets=4).count() == 1  # run again: nothing new happens
 
 
 def test_publish_by_type_in_batches(spark, tmp_path):
@@ -261,6 +261,21 @@ def test_hits_take_the_first_dated_field_and_a_default_publisher(spark):
     assert got == {("a", "none", day, "observedDate"), ("b", "x", day, "dateRecorded"), ("b", "y", day, "dateRecorded")}
 
 
+def test_monthly_counts_are_plain_sums_with_empty_months(spark):
+    days = lambda *d: [dt.date.fromisoformat(x) for x in d]
+    docs = spark.createDataFrame(
+        [("An invoice", days("2024-01-05", "2024-01-09"), days("2024-01-20"), None), ("Invoice!", None, days("2024-03-01"), []), ("other", None, days("2024-02-01"), None)],
+        "text string, startDate array<date>, datePublished array<date>, observedDate array<date>",
+    )
+    got = {(r["month"].month, r["n"]) for r in search.monthly_histogram(docs, F.col("text"), ["Invoice"]).collect()}
+    assert got == {(1, 2), (2, 0), (3, 1)}
+
+
+def test_email_extractor_reads_the_post(spark):
+    cdr = spark.createDataFrame([("a", "x", '{"postContent": "to Bob.B@mail.example.org, now", "other": "no@no.no"}', "application/json")], "_id string, source_name string, raw_content string, content_type string")
+    assert [r["value"] for r in ex.extraction_rows(ex.extract(with_json(cdr), ex.EMAIL), "email").collect()] == ["Bob.B@mail.example.org"]
+
+
 def test_series_and_histogram_files(spark, tmp_path):
     events = spark.createDataFrame([("c", "malicious-email", "2024-01-01 00:00:00"), ("c", "malicious-email", "2024-01-04T00:00:00"), ("c", "malicious-email", "bad")], "company string, event_type string, occurred string")
     series = groundtruth.daily_series(events)

@@ -14,7 +14,7 @@ from ..operators.extract import CVE, MSID, ExtractorSpec, extract
 from ..operators.frames import FrameSpec, affected, frame
 from ..operators.mapping import MappingSpec, route, statements
 from ..operators.publish import save_frames, unique_documents
-from ..operators.state import changed_documents, exists, increment_folder, point_to, pointed, read_state, stage, upsert
+from ..operators.state import BUCKETS, changed_documents, exists, increment_folder, point_to, pointed, read_state, stage, upsert
 from ..session import cut_lineage
 from ..sources.cdr import since, with_json
 
@@ -30,6 +30,7 @@ def refresh(
     frames: dict[str, FrameSpec],
     mark: str | int = "",
     extractors: Sequence[ExtractorSpec] = (CVE, MSID),
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Extract, map, merge and frame the records after ``mark``; return the changed documents.
 
@@ -45,7 +46,7 @@ def refresh(
         increment_folder(f"{out}/extractions", mark),
         lambda: extract(with_json(picked), *extractors).drop("json_rep"),
     )
-    fresh = upsert(spark, f"{out}/state", str(mark), statements(route(with_json(extracted), routes), models))
+    fresh = upsert(spark, f"{out}/state", str(mark), statements(route(with_json(extracted), routes), models), buckets)
 
     version, pointer = increment_folder(f"{out}/documents", mark), f"{out}/documents/current"
     before = pointed(spark, pointer) if exists(spark, pointer) else None

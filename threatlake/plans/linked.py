@@ -10,6 +10,7 @@ from ..operators import frames, merge, profile, publish, state
 from ..schema import STATEMENT_COLUMNS
 from ..session import cut_lineage, scratch_path
 from . import views as v
+from .daily import refresh
 from .registry import query
 
 ORDER_FRAME = frames.FrameSpec.from_dict(
@@ -144,6 +145,26 @@ def frame_affected_by_link(spark, sf):
     return frames.frame(rows, "order", ORDER_FRAME, only=roots).select("uri", "part", "doc")
 
 
+LAST_DAY = 1706572800 - 1  # the last second before 2024-01-30
+
+
+@query("refresh_increment", "cdr", f"""
+WITH items AS (SELECT 'user/' || (raw_content::JSON ->> 'user') AS uri, 'kind' AS property, raw_content::JSON ->> 'kind' AS item, "timestamp" FROM cdr
+    UNION ALL SELECT 'user/' || (raw_content::JSON ->> 'user'), 'system', raw_content::JSON ->> 'targetSystem', "timestamp" FROM cdr WHERE team <> 'isi'),
+firsts AS (SELECT uri, property, item, min("timestamp") AS seen FROM items GROUP BY 1, 2, 3)
+SELECT uri, count(CASE WHEN property = 'kind' THEN 1 END) AS kinds, count(CASE WHEN property = 'system' THEN 1 END) AS systems
+FROM firsts GROUP BY 1 HAVING max(seen) > {LAST_DAY}""")
+def refresh_increment(spark, sf):
+    """The daily refresh for 29 days at once, then for the last day: the documents that day changed."""
+    records, routes, models = v.activity(spark, sf)
+    out, spec = scratch_path(spark, "refresh"), {"user": v.ACTIVITY_FRAME}
+    refresh(spark, records.where(F.col("timestamp") <= LAST_DAY), out, routes, models, spec, buckets=8)
+    changed = refresh(spark, records, out, routes, models, spec, mark=LAST_DAY, buckets=8)
+    doc = F.from_json("doc", "kind array<string>, system array<struct<uri: string>>")
+    sizes = [F.coalesce(F.size(doc[c]), F.lit(0)).cast("bigint").alias(c + "s") for c in ("kind", "system")]
+    return changed.select("uri", *sizes)
+
+
 @query("rekey_documents", "", """
 SELECT sha256('customer/' || c_custkey) AS doc_id, '{"Customer_Party":{"name":"' || c_name || '","uri":"customer/' || c_custkey || '"}}' AS doc FROM customer""")
 def rekey_documents(spark, sf):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_epoch
 from ..functions.ids import URL_BASE
+from ..operators.frames import FrameSpec
 from ..operators.mapping import MappingSpec, route, statements
 from ..operators.merge import materialise
 from ..session import scratch_path, spread
@@ -267,6 +268,24 @@ def sales_graph(spark: SparkSession, sf: str) -> DataFrame:
     return materialise(sales_statements(spark, sf), scratch_path(spark, "sales"))
 
 
+# --- activity of users, for the daily refresh --------------------------------------
+
+ACTIVITY_FRAME = FrameSpec("User", {"kind": None, "system": FrameSpec("System", {"name": None})})
+
+
+def activity(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[MappingSpec]]:
+    """Event records with one feed per team, their routes and the models of users and systems."""
+    records = cdr(spark, sf).withColumn("source_name", F.col("team"))
+    teams = [*TEAMS.values(), "isi"]
+    routes = spark.createDataFrame([(t, m) for t in teams for m in ("users", "systems")], "source_name string, model string")
+    system = F.concat(F.lit("system/"), _json("targetSystem"))
+    models = [
+        MappingSpec("users", "User", F.concat(F.lit("user/"), _json_key("user")), {"kind": _json("kind")}, {"system": system}),
+        MappingSpec("systems", "System", system, {"name": _json("targetSystem")}),
+    ]
+    return records, routes, models
+
+
 def supply_statements(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers linked to every part they sold, and the parts' names."""
     line = spread(table(spark, sf, "lineitem").select("l_suppkey", "l_partkey")).select(
