@@ -187,6 +187,16 @@ def test_stream_upsert_equals_batch(spark, tmp_path):
     assert rows_of(state.read_state(spark, root)) == rows_of(merge.merge(stm(spark, ALL)))
 
 
+def test_stream_passes_each_id_once_over_batches(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for ids in (["hot"] * 50 + ["a"], ["hot", "b", "b"], ["a", "c"]):
+        spark.createDataFrame([(i,) for i in ids], "_id string").coalesce(1).write.mode("append").parquet(source)
+    for _ in range(2):  # the second run finds nothing new
+        rows = jobs.stream_files(spark, source, "_id string", per_trigger=1)
+        jobs.run(jobs.first_seen_stream(rows, out, str(tmp_path / "c")), lambda: None)
+    assert sorted(r["_id"] for r in state.read_increments(spark, out).collect()) == ["a", "b", "c", "hot"]
+
+
 # --- extraction, search, numbering -------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.mapping import statements
-from ..operators.state import read_state
+from ..operators.state import read_increments, read_state
 from ..session import scratch_path
 from ..sources.feeds import FEEDS
 from ..sources.landing import import_partitions
@@ -37,10 +37,10 @@ def stream_daily_counts(spark, sf):
 
 @query("stream_first_seen", "cdr", "SELECT DISTINCT _id FROM cdr")
 def stream_first_seen(spark, sf):
-    """Each id once; the allowance covers the whole table here."""
+    """Each id once."""
     out = scratch_path(spark, "stream-first")
-    job = jobs.first_seen_stream(_records(spark, sf).select("_id", "ts"), out, out + "-checkpoint", "60 days")
-    return jobs.run(job, lambda: spark.read.parquet(out).select("_id"))
+    job = jobs.first_seen_stream(_records(spark, sf).select("_id", "source_name"), out, out + "-checkpoint")
+    return jobs.run(job, lambda: read_increments(spark, out).select("_id"))
 
 
 @query("stream_landing", "", """

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.state import upsert
+from ..operators.state import increment_folder, increments, stage_done, upsert
 from ..sources.cdr import add_partitions
 from ..sources.feeds import FeedSpec
-from ..sources.landing import land
+from ..sources.landing import drop_known, land
 
 LATE = "2 days"
 
@@ -85,16 +85,25 @@ def latest_counts(spark: SparkSession, out: str) -> DataFrame:
     return changes.groupBy("source_name", "day").agg(F.max_by("count_downloaded", "batch_id").alias("count_downloaded"))
 
 
-def first_seen_stream(records: DataFrame, out: str, checkpoint: str, within: str = LATE) -> StreamingQuery:
-    """Pass on each ``_id`` once within the allowance after it was first seen."""
+def first_seen_stream(records: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Pass on each ``_id`` once, however often and however late it comes again.
+
+    Each micro-batch is thinned to one row per id on the map side before ids are
+    compared, so an id that most records share does not load one state task, as it
+    would with a streaming de-duplication. A batch that is run again replaces its
+    own output only.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, increment_folder(out, f"batch-{batch_id:012d}")
+        if not stage_done(spark, folder):
+            passed = increments(spark, out)
+            seen = spark.read.schema("_id string").parquet(*passed) if passed else None
+            fresh = batch.dropDuplicates(["_id"]) if seen is None else drop_known(batch, seen)
+            fresh.write.mode("overwrite").parquet(folder)
+
     return (
-        records.withWatermark("ts", within)
-        .dropDuplicatesWithinWatermark(["_id"])
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        records.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
