@@ -15,7 +15,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
-        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__ui__showConsoleProgress="false", spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")), spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -259,7 +259,7 @@ def test_observed_counts_come_with_the_action(spark):
 
 
 def test_frame_definitions_give_properties_per_type(spark, tmp_path):
-    (tmp_path / "malware.json").write_text(json.dumps({"@type": "M", "@explicit": True, "a": {}, "name": {}, "p": {"@type": "V", "name": {}}}))
+    (tmp_path / "malware.json").write_text(json.dumps({"@type": "M", "@explicit": True, "a": {}, "name": {}, "p": {"@type": "V", "name": {}}}, indent=2))
     assert frames.typed_properties(frames.read_frames(spark, str(tmp_path))) == [("M", "name"), ("M", "p"), ("V", "name")]
 
 

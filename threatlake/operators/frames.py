@@ -47,7 +47,7 @@ class FrameSpec:
 
 def read_frames(spark: SparkSession, folder: str) -> dict[str, FrameSpec]:
     """Frame definitions of a folder by file name; configuration, a few small files."""
-    files = spark.read.option("wholetext", True).text(folder)
+    files = spark.read.text(folder, wholetext=True)
     rows = files.select(F.regexp_extract("_metadata.file_path", r"([^/]+?)(\.json)?$", 1).alias("name"), "value").collect()
     return {row["name"]: FrameSpec.from_dict(json.loads(row["value"])) for row in rows}
 

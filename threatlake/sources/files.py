@@ -44,10 +44,8 @@ def read_cdr_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_whole_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One record per file."""
-    reader = spark.read.option("wholetext", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(F.col("value").alias("raw_content"), F.col("_metadata.file_path").alias("file"))
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return reader.text(path, wholetext=True).select(F.col("value").alias("raw_content"), F.col("_metadata.file_path").alias("file"))
 
 
 def modelling_records(
