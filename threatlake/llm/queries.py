@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, quality, secrets, sharding
+from . import chat, mixing, pieces, quality, secret_scan, sharding, simhash, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -36,6 +36,59 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"quality.{c}" for c in quality.KIND.fieldNames() if c != "clean_text"])
 
 
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate group."""
+    return simhash.components(documents(spark, sf_dir), shingle=4, max_bits=4)
+
+
+#: A conversation that says the template's own marks.
+SELF_QUOTING = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, then read back from its formatted text and its loss mask."""
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    values = ", ".join(f"({c}L, {t}L, '{r}', '{x}')" for c, t, r, x in SELF_QUOTING)
+    quoting = spark.sql(f"SELECT * FROM VALUES {values} AS t(conv_id, turn, role, text)")
+    out = chat.formatted(given.unionByName(quoting))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = out.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss_text", chat.read_loss(F.col("segments")))
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"), F.col("first_bad").cast("bigint").alias("first_bad"), "ended",
+    )
+
+
+CHECKS["op4_chat_format"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), o AS (
+  SELECT *, row_number() OVER w - 1 AS place, lag(role) OVER w AS prior, lead(role) OVER w AS later,
+    CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 20 + length(role) END
+      + length(regexp_replace(text, '([<\[])(\\*)(/SYS>>|<SYS>>|</SYS>>|s>|/s>|INST\]|/INST\]|ROLE\]|/ROLE\]|/TURN\])', '\1\\\2\3', 'g')) AS chars
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  length(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  CAST(min(place) FILTER (coalesce(prior, '') || '>' || role NOT IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user')) AS BIGINT) AS first_bad,
+  bool_or(later IS NULL AND role = 'assistant') AS ended
+FROM o GROUP BY conv_id
+"""
+
+
+@query
+def op6_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and near-duplicate group."""
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.9)
+
+
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's share in the mixture."""
@@ -59,7 +112,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of every text: fixed patterns and high entropy."""
-    out = secrets.scanned(documents(spark, sf_dir), "secrets")
+    out = secret_scan.scanned(documents(spark, sf_dir), "secrets")
     base = F.sha2(F.col("secrets.base").cast("binary"), 256).alias("base_sha256")
     return out.select("doc_id", "secrets.n_assign", "secrets.n_access", "secrets.n_hex", base, "secrets.spans")
 
