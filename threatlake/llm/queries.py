@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pieces, quality, secret_scan, sharding, simhash, vectors
+from . import chat, mixing, pieces, quality, secret_scan, sharding, simhash, url_trust, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -29,6 +29,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+#: Rules of the URL query.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict, by rule or by its host's place in the link graph."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    out = url_trust.judged(pages, URL_RULES, "url_verdict")
+    return out.select("page_id", "url_verdict.*")
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts, base verdict and line-first verdict."""
