@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlake.llm import mixing, pieces, quality
+from threatlake.llm import line_dedup, mixing, pieces, quality, simhash
 from threatlake.llm.queries import tokenizer
 from threatlake.session import scratch_path
 
@@ -20,6 +20,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.cleaned(docs)
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines that repeat an earlier one, or nearly."""
+    return line_dedup.deduplicated(docs)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return simhash.deduplicated(docs, shingle=4, max_bits=4)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's rate says."""
     return mixing.mixed(docs)
@@ -35,6 +45,8 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", dedup_lines),
+    ("SimHash near-dedup", dedup_documents),
     ("mixing sources to target weights", mix_sources),
     ("SentencePiece encoding and decoding", sentencepiece),
 ]

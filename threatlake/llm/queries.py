@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pieces, quality, secret_scan, sharding, simhash, url_trust, vectors
+from . import chat, line_dedup, mixing, pieces, quality, secret_scan, sharding, simhash, url_trust, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -129,6 +129,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "secrets.n_assign", "secrets.n_access", "secrets.n_hex", base, "secrets.spans")
 
 
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines that repeat an earlier one, or nearly."""
+    return line_dedup.per_document(documents(spark, sf_dir))
+
+
 @query
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 7 of near equal bytes, copies together."""
