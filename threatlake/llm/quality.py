@@ -66,13 +66,13 @@ def repeated_words(words: list[bytes]) -> int:
 
 def failing_rule(line: str, raw: bytes, words: list[bytes], rules: dict) -> str | None:
     """The first rule that the line fails; a line has at least one word."""
+    bars = len(SEPARATORS.findall(line))
+    if bars >= rules["nav_separators"] and 100 * bars >= rules["nav_share"] * len(words):
+        return "navigation"
     letters = sum(map(len, words))
     marks = letters - len(raw.translate(None, NOISE + b" \t\n\x0b\x0c\r"))
     if marks >= rules["min_symbols"] and 100 * marks > rules["symbol_share"] * letters:
         return "symbols"
-    bars = len(SEPARATORS.findall(line))
-    if bars >= rules["nav_separators"] and 100 * bars >= rules["nav_share"] * len(words):
-        return "navigation"
     if BOILERPLATE.search(line):
         return "boilerplate"
     if len(words) >= rules["unmarked_words"] and not SENTENCE_MARK.search(line):

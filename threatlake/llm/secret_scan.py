@@ -31,7 +31,7 @@ CLASSES = {
 }
 #: Candidates that are not secrets though their characters are mixed.
 ALLOW = (
-    r"[A-Za-z]+[0-9]{1,4}", r"(?:[A-Z]?[a-z]+){2,}", r"[0-9]+", r"(?:https?|www|ftp)[A-Za-z0-9+/=]*", r"/(?:[a-z0-9]+/)+[a-z0-9]*",
+    r"[A-Za-z]+[0-9]{1,4}", r"[A-Za-z]+", r"[0-9]+", r"(?:https?|www|ftp)[A-Za-z0-9+/=]*", r"/(?:[a-z0-9]+/)+[a-z0-9]*",
     r"(.)\1+", r"(?:0123456789abcdef|ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789\+/)+",
 )
 KIND = T.StructType([
@@ -48,14 +48,13 @@ def windows(run: str, width: int, least: float) -> list[tuple[int, int]]:
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     for i, new in enumerate(run):
+        if i >= width:
+            c = counts[run[i - width]]
+            counts[run[i - width]] = c - 1
+            total += bits[c - 1] - bits[c]
         c = counts.get(new, 0)
         counts[new] = c + 1
         total += bits[c + 1] - bits[c]
-        if i >= width:
-            old = run[i - width]
-            c = counts[old]
-            counts[old] = c - 1
-            total += bits[c - 1] - bits[c]
         if i >= width - 1 and math.log2(width) - total / width >= least - 1e-9:
             start = i - width + 1
             if spans and start <= spans[-1][1]:
