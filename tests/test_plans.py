@@ -7,7 +7,6 @@ from threatlake.plans import views
 from threatlake.plans.catalog import QUERIES
 from threatlake.session import shared_dir
 
-PYTHON = {"attribute_paths", "shared_attributes"}  # nested to any depth, see operators.profile
 WRITING = {n for n in QUERIES if n.startswith(("stream_", "state_", "cdr_partition", "cdr_pruned", "frame_", "publish_", "merged_", "search_", "audit_overwrite"))}
 
 
@@ -19,7 +18,7 @@ def plan(df):
 def test_no_cross_joins_and_no_python(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert name in PYTHON or ("Python" not in text and "Pandas" not in text)
+    assert "Python" not in text and "Pandas" not in text
 
 
 def test_daily_counts_read_two_columns(spark, sf):

@@ -169,6 +169,35 @@ def test_tweet_files_plain_and_packed(spark, tmp_path):
     assert {(r["file"], r["id_str"]) for r in got.collect()} == {("2024-01-03", "1"), ("2024-01-04", "2"), ("2024-01-04", "3")}
 
 
+def test_archives_that_end_early_are_held_back(spark, tmp_path):
+    lines = "\n".join(tweet(i) for i in range(5000)).encode()
+    whole = io.BytesIO()
+    with tarfile.open(fileobj=whole, mode="w:gz") as tar:
+        info = tarfile.TarInfo("x.json")
+        info.size = len(lines)
+        tar.addfile(info, io.BytesIO(lines))
+    (tmp_path / "good.tar.gz").write_bytes(whole.getvalue())
+    (tmp_path / "short.tar.gz").write_bytes(whole.getvalue()[: len(whole.getvalue()) // 2])
+    (tmp_path / "junk.tar.gz").write_bytes(b"no archive")
+    assert {r["file"] for r in tweets.archive_quarantine(spark, str(tmp_path)).collect()} == {"short", "junk"}
+    read = {r["file"]: r["count"] for r in tweets.read_tweet_files(spark, str(tmp_path)).groupBy("file").count().collect()}
+    assert read["good"] == 5000 and read.get("short", 0) < 5000
+
+
+def test_broken_lines_of_blanked_feeds_keep_their_text(spark):
+    raw = spark.createDataFrame([('{"postCve": "x", "a": 1}',), ('{"postCve": "x"',), ("[1]",)], "raw_content string")
+    landed = landing.land(raw, feeds.FEEDS["asu-twitter"], 5)
+    assert {r["raw_content"] for r in landed.collect()} == {'{"postCve":"","a":1}', '{"postCve": "x"', "[1]"}
+    assert landed.where("_id is null").isEmpty() and cdr_scan.quarantine(landed).count() == 1
+
+
+def test_event_files_add_up(spark):
+    docs = spark.createDataFrame([("a", '{"events": [{"event_type": "x"}]}'), ("b", "{"), ("c", "{}"), ("d", '[{"ground_truth": {}}, 5]'), ("e", "[]")], "file string, raw_content string")
+    held = {r["file"]: (r["reason"], r["lost"]) for r in events.event_quarantine(docs).collect()}
+    assert held == {"b": ("not JSON", 0), "c": ("no events", 0), "d": ("not events", 1)}
+    assert {r["file"] for r in events.explode_events(docs).collect()} == {"a", "d"}
+
+
 def test_tweet_filters_join_with_or_and_compare_numbers(spark):
     lines = [tweet(1), tweet(2, in_reply_to_status_id_str="1"), tweet(3, id_str="drop"), tweet(4, entities="drop")]
     rows = tweets.parse_tweets(spark.createDataFrame([("f", line) for line in lines], tweets.LINE))

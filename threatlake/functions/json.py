@@ -44,12 +44,14 @@ def strings_at(rep: Column, path: str) -> Column:
 
 
 def blank_fields(raw: Column, *names: str) -> Column:
-    """Empty the named top-level fields where present; the rest is untouched."""
+    """Empty the named top-level fields where present; the rest is untouched.
+
+    Text that is not a JSON object stays as it is.
+    """
     body = F.from_json(raw, "map<string,variant>")
     blank = F.parse_json(F.lit('""'))
-    return F.to_json(
-        F.transform_values(body, lambda k, v: F.when(k.isin(*names), blank).otherwise(v))
-    )
+    blanked = F.to_json(F.transform_values(body, lambda k, v: F.when(k.isin(*names), blank).otherwise(v)))
+    return F.coalesce(blanked, raw)
 
 
 def json_text(value: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import SECONDS_PER_DAY, day_start, epoch_day
 from ..sources.cdr import between
-from ..session import broadcast_if_small
 
 REPORT_DAYS = 7
 HISTORY_DAYS = 13
@@ -162,10 +161,10 @@ def owner(source: Column) -> Column:
     )
 
 
-def with_policy(rows: DataFrame, policy: DataFrame, max_sources: int = 100_000) -> DataFrame:
+def with_policy(rows: DataFrame, policy: DataFrame) -> DataFrame:
     """Rows of feeds that are not excluded, with the policy flags."""
     flags = ["excluded", "zero_tolerant", "highlighted"]
-    joined = rows.join(broadcast_if_small(policy, max_sources), "source_name", "left")
+    joined = rows.join(policy, "source_name", "left")
     return joined.withColumns({f: F.coalesce(f, F.lit(False)) for f in flags}).where(~F.col("excluded")).drop("excluded")
 
 

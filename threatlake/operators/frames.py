@@ -9,16 +9,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, cut_lineage
+from ..session import cut_lineage
 from .mapping import TYPE
 from .merge import split_large, statement_item
 
 # Keys of a frame definition that are not properties.
 FRAME_KEYS = ("@explicit", "@type", TYPE)
 
-# Uri lists up to this long are broadcast, longer ones are joined by shuffling.
-MAX_URIS = 1_000_000
-
 
 @dataclass(frozen=True)
 class FrameSpec:
@@ -70,7 +67,7 @@ def _nodes(
     if spec.explicit:
         own = own.where(F.col("property").isin(TYPE, *spec.props))
     if only is not None:
-        own = own.join(broadcast_if_small(only, MAX_URIS), "uri", "left_semi")
+        own = own.join(only, "uri", "left_semi")
     own = split_large(own, "uri", statement_item(), cap)
 
     is_edge = F.col("property").isin(*edges) if edges else F.lit(False)
@@ -117,11 +114,11 @@ def affected(statements: DataFrame, spec: FrameSpec, changed: DataFrame) -> Data
     links, to a changed one. ``changed`` is a stored table of distinct uris.
     """
     own = of_types(statements, {spec.type})
-    hit = own.join(broadcast_if_small(changed, MAX_URIS), "uri", "left_semi").select("uri")
+    hit = own.join(changed, "uri", "left_semi").select("uri")
     for name, inner in spec.props.items():
         # Links without a frame show only the uri, which a change of its entity leaves alone.
         if inner is not None:
-            reached = broadcast_if_small(affected(statements, inner, changed), MAX_URIS).withColumnRenamed("uri", "object_uri")
+            reached = affected(statements, inner, changed).withColumnRenamed("uri", "object_uri")
             edge = own.where(F.col("property") == name)
             hit = hit.unionByName(edge.join(reached, "object_uri", "left_semi").select("uri"))
     return cut_lineage(hit.distinct())

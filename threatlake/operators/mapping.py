@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import STATEMENT_COLUMNS
-from ..session import broadcast_if_small
 
 # Models that also serve other feeds.
 ALIASES = {
@@ -44,9 +43,9 @@ def model_routes(spark, models: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "source_name string, model string")
 
 
-def route(records: DataFrame, routes: DataFrame, max_routes: int = 100_000) -> DataFrame:
+def route(records: DataFrame, routes: DataFrame) -> DataFrame:
     """Give each record its model; a feed of two models yields the record twice."""
-    return records.join(broadcast_if_small(routes, max_routes), "source_name")
+    return records.join(routes, "source_name")
 
 
 class many:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import PROVENANCE, STATEMENT, STATEMENT_COLUMNS
-from ..session import broadcast_if_small, cut_lineage
+from ..session import cut_lineage
 
 
 def merge(*inputs: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def part_of(item: Column, parts: Column) -> Column:
     return F.conv(F.substring(F.md5(item), 1, 8), 16, 10).cast("bigint") % parts
 
 
-def split_large(rows: DataFrame, key: str, item: Column, cap: int, max_broadcast: int = 200_000) -> DataFrame:
+def split_large(rows: DataFrame, key: str, item: Column, cap: int) -> DataFrame:
     """Add ``part`` and ``parts``, so that ``(key, part)`` holds about ``cap`` different items at most.
 
     Keys with up to ``cap`` items have one part. Degrees are counted with map-side
@@ -65,12 +65,12 @@ def split_large(rows: DataFrame, key: str, item: Column, cap: int, max_broadcast
     large = cut_lineage(counted.where(F.col("_n") > cap).select(key))
     if not large.isEmpty():
         # Repeats must not count, so the few candidates are counted again without them.
-        items = rows.join(broadcast_if_small(large, max_broadcast), key).select(key, item.alias("_item")).distinct()
+        items = rows.join(large, key).select(key, item.alias("_item")).distinct()
         exact = items.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > cap)
         large = cut_lineage(exact.select(key, F.ceil(F.col("_n") / cap).alias("_parts")))
     if large.isEmpty():
         return rows.withColumns({"part": F.lit(0).cast("bigint"), "parts": F.lit(1).cast("bigint")})
-    joined = rows.join(broadcast_if_small(large, max_broadcast), key, "left")
+    joined = rows.join(large, key, "left")
     parts = F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint")
     part = F.when(parts > 1, part_of(item, parts)).otherwise(F.lit(0).cast("bigint"))
     return joined.withColumns({"part": part, "parts": parts}).drop("_parts")
@@ -84,20 +84,24 @@ def statement_item() -> Column:
 def entities(statements: DataFrame, cap: int = 1000) -> DataFrame:
     """One row per entity, or per part of a large one.
 
-    ``(uri, part, parts, types, props, provenance)``, where ``props`` maps a property to
-    its sorted values and links.
+    ``(uri, part, parts, types, props)``, where ``props`` maps a property to its sorted
+    values and links. Where they come from is ``entity_provenance``.
     """
-    cells = statements.select("uri", "property", F.coalesce("value", "object_uri").alias("value"), *PROVENANCE, "type")
+    cells = statements.select("uri", "property", F.coalesce("value", "object_uri").alias("value"), "type")
     cells = split_large(cells, "uri", F.concat_ws("|", "property", "value"), cap)
     grouped = cells.groupBy("uri", "part", "parts").agg(
         F.array_sort(F.collect_set("type")).alias("types"),
         F.array_sort(F.collect_set(F.struct("property", "value"))).alias("pairs"),
-        F.array_sort(F.collect_set(F.struct(*PROVENANCE))).alias("provenance"),
     )
     # One shuffle; the pairs of a part, about ``cap`` at most, are then grouped in place.
     names = F.array_distinct(F.transform("pairs", lambda p: p["property"]))
     props = F.map_from_arrays("names", F.transform("names", _values_of))
-    return grouped.withColumn("names", names).select("uri", "part", "parts", "types", props.alias("props"), "provenance")
+    return grouped.withColumn("names", names).select("uri", "part", "parts", "types", props.alias("props"))
+
+
+def entity_provenance(statements: DataFrame) -> DataFrame:
+    """Who said something of an entity, and when: a row each, since nothing bounds their number."""
+    return statements.select("uri", *PROVENANCE).distinct()
 
 
 def _values_of(name: Column) -> Column:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, cut_lineage
+from ..session import cut_lineage
 
-MAX_OFFSETS = 1_000_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the place in the lower 33 bits
 
 
@@ -29,19 +28,17 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str = "
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     # One row per group and partition it reaches into: the range ends, not the rows.
-    renamed = broadcast_if_small(offsets.select(*[F.col(c).alias(f"_o_{c}") for c in offsets.columns]), MAX_OFFSETS)
+    renamed = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in offsets.columns])
     same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in ["_part", *group]]
     number: Column = F.col("_id") - F.col("_o__first") + F.col("_o__before") + 1
     return placed.join(renamed, same).select(*df.columns, number.cast("bigint").alias(name))
 
 
-def page(df: DataFrame, order: list[str], start: int, limit: int, shallow: int = 100_000) -> DataFrame:
-    """Rows ``start`` … ``start + limit`` in order.
+def page(df: DataFrame, order: list[str], start: int, limit: int) -> DataFrame:
+    """Rows ``start`` … ``start + limit`` in order; ties are in order of the other columns.
 
-    Shallow pages are a top-k; deep ones are cut by row number, since a top-k
-    would bring every skipped row to one task.
+    Cut by row number, since a top-k would bring every skipped row to one task.
     """
-    if start + limit <= shallow:
-        return df.orderBy(*order).offset(start).limit(limit)
-    numbered = number_rows(df, [], order, "_row")
+    rest = [c for c in df.columns if c not in order]
+    numbered = number_rows(df, [], [*order, *rest], "_row")
     return numbered.where((F.col("_row") > start) & (F.col("_row") <= start + limit)).drop("_row")

@@ -2,50 +2,43 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.json import JSON_TYPE, is_array, is_object
+from ..session import cut_lineage
+
 # Fixed value: an attribute that is listed but not looked into.
 LEAVES = {"affected_products"}
 
 
-def _paths(value: dict, prefix: str, found: set[str]) -> None:
-    for key, inner in value.items():
-        path = prefix + key
-        if key in LEAVES or not isinstance(inner, dict | list):
-            found.add(path)
-        for item in [inner] if isinstance(inner, dict) else inner if isinstance(inner, list) else []:
-            if isinstance(item, dict) and key not in LEAVES:
-                _paths(item, path + ".", found)
-
-
-def _partition_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Attribute paths per feed, each once per partition."""
-    seen: dict[str | None, set[str]] = {}
-    for batch in batches:
-        for source, raw in zip(batch["source_name"], batch["raw_content"]):
-            try:
-                body = json.loads(raw)
-            except (TypeError, ValueError):
-                continue
-            if isinstance(body, dict):
-                _paths(body, "", seen.setdefault(source, set()))
-    rows = [(source, path) for source, paths in seen.items() for path in paths]
-    yield pd.DataFrame(rows, columns=["source_name", "path"])
-
-
 def attribute_paths(cdr: DataFrame) -> DataFrame:
     """Distinct attribute paths per feed: ``(source_name, path)``.
 
-    Objects nest without a bound, which column expressions cannot follow, so one
-    Arrow pass walks each record and sends on every path once per partition.
+    Objects nest without a bound, so they are opened level by level until none is left:
+    a level's inner objects, and the objects of its lists, are the next one's input. Each level is
+    written to the shared folder, and a path is distinct before it leaves its level.
     """
-    json_only = cdr.where(F.col("content_type") == "application/json").select("source_name", "raw_content")
-    return json_only.mapInPandas(_partition_paths, "source_name string, path string").distinct()
+    rep = F.try_parse_json("raw_content")
+    level = cdr.where(F.col("content_type") == JSON_TYPE).select("source_name", F.lit("").alias("prefix"), rep.alias("object"))
+    level, found = level.where(is_object(F.col("object"))), []
+    while True:
+        opened = _opened(level).select("source_name", F.concat("prefix", "key").alias("path"), "key", "value")
+        leaf = F.col("key").isin(*sorted(LEAVES))
+        inner, listed = is_object(F.col("value")), is_array(F.col("value"))
+        found.append(opened.where(leaf | ~(inner | listed)).select("source_name", "path").distinct())
+        below = opened.where(~leaf).select("source_name", F.concat("path", F.lit(".")).alias("prefix"), F.col("value").alias("object"))
+        items = _opened(below.where(is_array(F.col("object")))).select("source_name", "prefix", F.col("value").alias("object"))
+        level = cut_lineage(below.unionByName(items).where(is_object(F.col("object"))))
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _opened(rows: DataFrame) -> DataFrame:
+    """The entries of each row's ``object``, or the items of its list, which have no key."""
+    return rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("object").outer()))
 
 
 def observed(rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:

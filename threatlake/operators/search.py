@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import first_dates
 from ..functions.text import contains_phrase, match_phrase, normalise, phrase_count
-from ..session import broadcast_if_small, cut_lineage
+from ..session import cut_lineage
 
 DATE_PRIORITY = ["datePublished", "startDate", "observedDate", "datePosted", "dateRecorded"]
 HISTOGRAM_DATES = ["startDate", "datePublished", "observedDate"]
@@ -101,14 +101,14 @@ def _anchors(phrases: DataFrame) -> DataFrame:
     return sized.withColumn("anchor", longest)
 
 
-def phrase_hits(docs: DataFrame, phrases: DataFrame, max_phrases: int = 200_000, max_candidates: int = 2_000_000) -> DataFrame:
+def phrase_hits(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """Every document that holds a phrase: ``(phrase, uri, score)``.
 
     ``docs`` has ``uri`` and ``text``, ``phrases`` has ``phrase``. Documents meet
     phrases only over a shared anchor run, never pair by pair; whole phrases are
     then checked on the candidates' text. Score is the number of occurrences.
-    Small phrase and candidate tables are broadcast after counting them; larger
-    ones shuffle, with skewed anchors split by the adaptive join.
+    Adaptive execution broadcasts small phrase and candidate tables by their
+    measured bytes and splits skewed anchors of larger ones.
     """
     anchors = cut_lineage(_anchors(phrases))
     sizes = [r["size"] for r in anchors.select("size").distinct().collect()]  # three at most
@@ -117,10 +117,10 @@ def phrase_hits(docs: DataFrame, phrases: DataFrame, max_phrases: int = 200_000,
     norm = docs.select("uri", normalise(F.col("text")).alias("text"))
     keyed = norm.select("uri", F.explode(F.concat(*[_runs(F.col("text"), k) for k in sorted(sizes)])).alias("anchor"))
     candidates = cut_lineage(
-        keyed.join(broadcast_if_small(anchors, max_phrases), "anchor").select("uri", "phrase", "norm")
+        keyed.join(anchors, "anchor").select("uri", "phrase", "norm")
     )
     return (
-        norm.join(broadcast_if_small(candidates, max_candidates), "uri")
+        norm.join(candidates, "uri")
         .where(contains_phrase(F.col("text"), F.col("norm")))
         .select("phrase", "uri", phrase_count(F.col("text"), F.col("norm")).alias("score"))
     )
@@ -157,14 +157,14 @@ def hit_dates(docs: DataFrame, default_publisher: str) -> DataFrame:
     )
 
 
-def publisher_matches(hits: DataFrame, docs: DataFrame, indicators: DataFrame, default_publisher: str, max_hits: int = 2_000_000) -> DataFrame:
+def publisher_matches(hits: DataFrame, docs: DataFrame, indicators: DataFrame, default_publisher: str) -> DataFrame:
     """Matches per publisher and indicator, with the first and last date.
 
     ``indicators`` has ``phrase`` and ``occurred``. Hits are at most a hundred per
     indicator; dates are compared as dates.
     """
     dated = hit_dates(docs, default_publisher)
-    found = dated.join(broadcast_if_small(hits.select("uri", "phrase"), max_hits), "uri")
+    found = dated.join(hits.select("uri", "phrase"), "uri")
     return (
         found.groupBy("publisher", "phrase")
         .agg(F.countDistinct("uri").alias("documents"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))

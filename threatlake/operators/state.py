@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,20 +110,41 @@ def rewrite(spark: SparkSession, source: str, target: str, keep: Column | None =
     return target
 
 
-def point_to(spark: SparkSession, pointer: str, version: str) -> None:
-    """Name the current version of a table in a small file, replaced in one rename."""
+def _versions(spark: SparkSession, pointer: str) -> list[int]:
     target, fs = _path(spark, pointer)
-    draft, _ = _path(spark, pointer + ".new")
-    out = fs.create(draft, True)
+    names = [f.getPath().getName() for f in fs.listStatus(target)] if fs.exists(target) else []
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def point_to(spark: SparkSession, pointer: str, version: str) -> None:
+    """Name the current version of a table in a new numbered file of the pointer's folder.
+
+    The file gets its number by a rename once it is whole, so a reader finds the version
+    before or this one at any time. A number that another writer took is an error.
+    """
+    number = (_versions(spark, pointer) or [0])[-1] + 1
+    draft, fs = _path(spark, f"{pointer}/_draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
     out.write(bytearray(version.encode()))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    fs.rename(draft, target)
+    target, _ = _path(spark, f"{pointer}/{number:012d}")
+    if fs.exists(target) or not fs.rename(draft, target):
+        raise RuntimeError(f"{pointer} was moved by another run")
+
+
+def pointed(spark: SparkSession, pointer: str) -> str | None:
+    """The current version; None where the pointer was never set."""
+    numbers = _versions(spark, pointer)
+    return spark.read.text(f"{pointer}/{numbers[-1]:012d}").head()["value"] if numbers else None
+
 
+def later_increment(folder: str, other: str) -> bool:
+    """Whether an increment's folder comes after another's: the initial one first, then by mark."""
+    def order(path: str) -> tuple:
+        mark = path.rsplit("increment=", 1)[1]
+        return (0,) if mark == INITIAL else (1, int(mark)) if mark.lstrip("-").isdigit() else (2, mark)
 
-def pointed(spark: SparkSession, pointer: str) -> str:
-    return spark.read.text(pointer).head()["value"]
+    return order(folder) > order(other)
 
 
 def changed_documents(new: DataFrame, old: DataFrame, key: list[str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from ..operators.extract import CVE, MSID, ExtractorSpec, extract
 from ..operators.frames import FrameSpec, affected, frame
 from ..operators.mapping import MappingSpec, route, statements
 from ..operators.publish import save_frames, unique_documents
-from ..operators.state import BUCKETS, changed_documents, exists, increment_folder, point_to, pointed, read_state, stage, upsert
+from ..operators.state import BUCKETS, changed_documents, increment_folder, later_increment, point_to, pointed, read_state, stage, upsert
 from ..session import cut_lineage
 from ..sources.cdr import since, with_json
 
@@ -34,7 +34,8 @@ def refresh(
 ) -> DataFrame:
     """Extract, map, merge and frame the records after ``mark``; return the changed documents.
 
-    Without a mark all records are taken. Every stage is saved under its increment
+    Without a mark all records are taken. An increment that is not after the current one
+    returns the delta that it had and changes nothing. Every stage is saved under its increment
     and skipped when an earlier run finished it. Statements merge into the store,
     so increments give the same documents as one full run. After the first run only
     the documents that new statements can reach are framed again; the others are
@@ -49,8 +50,9 @@ def refresh(
     fresh = upsert(spark, f"{out}/state", str(mark), statements(route(with_json(extracted), routes), models), buckets)
 
     version, pointer = increment_folder(f"{out}/documents", mark), f"{out}/documents/current"
-    before = pointed(spark, pointer) if exists(spark, pointer) else None
-    if before == version:
+    before = pointed(spark, pointer)
+    if before is not None and not later_increment(version, before):
+        # Run before, and maybe followed by others: its delta stands, and the pointer stays.
         return spark.read.parquet(increment_folder(f"{out}/delta", mark))
     merged = read_state(spark, f"{out}/state")
     old = None if before is None else spark.read.parquet(before)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_day
@@ -14,9 +18,10 @@ from ..operators.mapping import route
 from ..operators.profile import attribute_paths, shared_attributes, source_schemas
 from ..session import scratch_path
 from ..sources.cdr import add_partitions, between, quarantine, query_cdr, since, with_json, without_target_system
-from ..sources.feeds import FEEDS
+from ..sources.events import event_quarantine
+from ..sources.feeds import FEEDS, FULL_LOAD, completeness, pulls
 from ..sources.files import rows_as_json
-from ..sources.landing import as_keyed_json, drop_known, import_partitions, land, write_cdr
+from ..sources.landing import as_keyed_json, backup, drop_known, import_partitions, land, write_cdr
 from . import views as v
 from .registry import query
 
@@ -89,6 +94,83 @@ def feed_blanked_fields(spark, sf):
     return v.numbered_events(spark, sf).select("event_id", blank_fields(raw, "postCve", "itemCve").alias("raw_content"))
 
 
+DOWNLOADED = ["asu-zero-day-products", "asu-hacking-items", "asu-hacking-posts", "asu-twitter", "asu-exploit-db", "asu-dark-mention-rules", "asu-dumps-s3-mapping"]
+
+
+def _downloaded(spark, sf):
+    """Lines of one downloader's seven feeds; every fourth is cut short and is no JSON."""
+    whole = F.format_string('{"itemCve":"CVE-2024-%d","user":%d}', "k", "user_id")
+    line = F.when(F.col("k") % 4 == 0, F.substring(whole, 1, 12)).otherwise(whole)
+    return v.numbered_events(spark, sf).select((F.col("event_id") % len(DOWNLOADED)).alias("feed"), line.alias("raw_content"))
+
+
+def _landed(spark, sf):
+    lines = _downloaded(spark, sf)
+    parts = [land(lines.where(F.col("feed") == i).select("raw_content"), FEEDS[name], MARK) for i, name in enumerate(DOWNLOADED)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+DOWNLOADED_SQL = f"""d AS (SELECT ({DOWNLOADED})[CAST(event_id % 7 + 1 AS INTEGER)] AS source_name, k,
+       CASE WHEN k % 4 = 0 THEN '{{"itemCve":"' ELSE '{{"itemCve":"","user":' || user_id || '}}' END AS raw_content FROM ev)"""
+
+
+@query("feed_blanked_sources", "ev", f"""WITH {DOWNLOADED_SQL}
+SELECT source_name, raw_content, source_name || '/' || md5(raw_content) AS _id, count(*) AS n FROM d GROUP BY 1, 2""")
+def feed_blanked_sources(spark, sf):
+    """All seven feeds of the downloader land with the field emptied, and broken lines as they came."""
+    return _landed(spark, sf).groupBy("source_name", "raw_content", "_id").agg(F.count("*").alias("n"))
+
+
+@query("landing_quarantine", "ev", f"""WITH {DOWNLOADED_SQL}
+SELECT source_name, count(*) AS landed, count(*) FILTER (k % 4 = 0) AS held FROM d GROUP BY 1""")
+def landing_quarantine(spark, sf):
+    """Landed lines of each feed, and those of them that are held back: the others are the difference."""
+    landed = _landed(spark, sf)
+    held = quarantine(landed).groupBy("source_name").agg(F.count("*").alias("held"))
+    return landed.groupBy("source_name").agg(F.count("*").alias("landed")).join(held, "source_name", "left").select(
+        "source_name", "landed", F.coalesce("held", F.lit(0)).alias("held")
+    )
+
+
+@query("event_quarantine", "", """
+SELECT 'file-' || doc_id AS file, CASE doc_id % 4 WHEN 1 THEN octet_length(encode('{' || text)) WHEN 2 THEN 12 ELSE 53 END AS bytes,
+       CASE doc_id % 4 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no events' ELSE 'not events' END AS reason, CAST(doc_id % 4 = 3 AS BIGINT) AS lost
+FROM documents WHERE doc_id % 4 > 0""")
+def event_quarantine_files(spark, sf):
+    """Event files that are cut short, of another layout, or hold something else among the events."""
+    d = F.col("doc_id") % 4
+    raw = (
+        F.when(d == 0, F.lit('{"events": [{"event_type": "a"}]}')).when(d == 1, F.concat(F.lit("{"), "text"))
+        .when(d == 2, F.lit('{"other": 1}')).otherwise(F.lit('[{"ground_truth": {"event_type": "b"}}, {"other": 1}]'))
+    )
+    return event_quarantine(v.table(spark, sf, "documents").select(F.concat(F.lit("file-"), "doc_id").alias("file"), raw.alias("raw_content")))
+
+
+PULL_DAYS = [dt.date(2024, 1, d) for d in (14, 15, 16)]
+PULL_MODES = {"hg-blogs": "since", "armstrong": "window", "hackmageddon": "full"}
+
+
+@query("feed_pulls", "ev", """
+WITH p AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM ev WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-14' AND DATE '2024-01-16' GROUP BY 1),
+m AS (SELECT * FROM (VALUES ('hg-blogs', DATE '2024-01-16', DATE '2024-01-31'), ('armstrong', DATE '2024-01-15', DATE '2024-01-16'), ('hackmageddon', DATE '2024-01-01', DATE '2024-01-31')) v(source_name, a, b))
+SELECT source_name, CAST(sum(n) FILTER (d BETWEEN a AND b) AS BIGINT) AS pulled, (SELECT CAST(sum(n) AS BIGINT) FROM p) AS total, CAST(sum(n) AS BIGINT) AS landed,
+       strftime(max(d), '%Y-%m-%d') AS last_pull, true AS complete FROM p, m GROUP BY 1""")
+def feed_pulls(spark, sf):
+    """Raw pulls of three days backed up for three feeds, each read by its mode and held against its total."""
+    root, events = scratch_path(spark, "pulls"), v.table(spark, sf, "events")
+    lines = events.where(F.to_date("ts").between(PULL_DAYS[0], PULL_DAYS[-1])).select("ts", F.col("props").alias("raw_content"))
+    for source in PULL_MODES:
+        for day in PULL_DAYS:
+            backup(lines.where(F.to_date("ts") == F.lit(day)).select("raw_content"), root, source, day)
+    read = [pulls(spark, root, FEEDS[s], PULL_DAYS[-1]).groupBy("source_name").agg(F.count("*").alias("pulled")) for s in PULL_MODES]
+    whole = reduce(DataFrame.unionByName, [pulls(spark, root, FEEDS[s], FULL_LOAD) for s in PULL_MODES])
+    totals = lines.agg(F.count("*").alias("total")).select(F.explode(F.array(*[F.lit(s) for s in PULL_MODES])).alias("source_name"), "total")
+    done = completeness(whole, totals)
+    return done.join(reduce(DataFrame.unionByName, read), "source_name").select(
+        "source_name", "pulled", "total", "landed", F.date_format("last_pull", "yyyy-MM-dd").alias("last_pull"), "complete"
+    )
+
+
 @query("cdr_partition_append", "order_cdr", '''
 SELECT "year", "month", count(*) AS n, count(DISTINCT _id) AS ids FROM order_cdr GROUP BY 1, 2''')
 def cdr_partition_append(spark, sf):

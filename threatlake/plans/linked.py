@@ -53,14 +53,22 @@ SELECT uri, CAST(0 AS BIGINT) AS part, any_value("type") AS types,
        string_agg(DISTINCT property || '=' || coalesce(value, object_uri), ';' ORDER BY property || '=' || coalesce(value, object_uri)) AS props,
        count(DISTINCT coalesce(publisher, '') || recorded || coalesce(observed, '')) AS sources FROM stm GROUP BY uri""")
 def merged_entities(spark, sf):
-    rows = merge.entities(v.sales_graph(spark, sf))
+    graph = v.sales_graph(spark, sf)
+    sources = merge.entity_provenance(graph).groupBy("uri").agg(F.count("*").alias("sources"))
+    rows = merge.entities(graph).join(sources, "uri")
     cells = F.transform(F.map_entries("props"), lambda e: F.transform(e["value"], lambda x: F.concat_ws("=", e["key"], x)))
     return rows.select(
-        "uri", "part", F.array_join("types", ",").alias("types"), F.array_join(F.array_sort(F.flatten(cells)), ";").alias("props"),
-        F.size("provenance").cast("bigint").alias("sources"),
+        "uri", "part", F.array_join("types", ",").alias("types"), F.array_join(F.array_sort(F.flatten(cells)), ";").alias("props"), "sources"
     )
 
 
+@query("entity_provenance", "stm", """SELECT DISTINCT uri, source, publisher, recorded AS "dateRecorded", coalesce(observed, '-') AS "observedDate" FROM stm""")
+def entity_provenance(spark, sf):
+    """One row for each entity and origin."""
+    rows = merge.entity_provenance(v.sales_graph(spark, sf))
+    return rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in rows.columns])
+
+
 @query("ablate_evidence", "stm", f"""
 SELECT {STATEMENTS} FROM stm WHERE publisher <> 'shop-mirror-feed' AND (observed IS NULL OR observed <= '1996-01-01')""")
 def ablate_evidence(spark, sf):

@@ -16,7 +16,7 @@ from ..functions.ids import URL_BASE
 from ..operators.frames import FrameSpec
 from ..operators.mapping import MappingSpec, route, statements
 from ..operators.merge import materialise
-from ..session import scratch_path, spread
+from ..session import scratch_path
 from ..sources.cdr import with_json
 from ..sources.events import explode_events, typed_events
 from ..sources.landing import envelope
@@ -90,7 +90,7 @@ def evidence_text(spark: SparkSession, sf: str) -> DataFrame:
 
     ``src0`` and ``src1`` stand for the two feeds whose text sits in a JSON field.
     """
-    docs = spread(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
     d = F.col("doc_id")
     suffix = _concat(
         " CVE-", 2000 + d % 20, "-", 1000 + d * 37 % 90000,
@@ -126,7 +126,7 @@ EVENT_TYPES = {
 
 def event_files(spark: SparkSession, sf: str) -> DataFrame:
     """Events as ground-truth JSON documents in both layouts: ``(file, raw_content)``."""
-    e = spread(numbered_events(spark, sf))
+    e = numbered_events(spark, sf)
     k, u = F.col("k"), F.col("user_id")
     spaced = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".123"))
@@ -186,7 +186,7 @@ def doc_index(spark: SparkSession, sf: str) -> DataFrame:
         .when(d % 5 == 0, F.array(F.col("source"), F.lit("mirror")))
         .otherwise(F.array("source"))
     )
-    return spread(table(spark, sf, "documents")).select(
+    return table(spark, sf, "documents").select(
         F.col("lang").alias("doc_type"),
         _concat("doc/", d).alias("uri"),
         _concat("Document ", d).alias("name"),
@@ -213,7 +213,7 @@ def sales_records(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("crm").alias("source_name"),
         F.to_json(F.struct("c_custkey", "c_name", "c_nationkey", "c_mktsegment")).alias("raw_content"),
     )
-    orders = spread(table(spark, sf, "orders"))
+    orders = table(spark, sf, "orders")
     body = F.to_json(
         F.struct(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")
@@ -288,7 +288,7 @@ def activity(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[M
 
 def supply_statements(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers linked to every part they sold, and the parts' names."""
-    line = spread(table(spark, sf, "lineitem").select("l_suppkey", "l_partkey")).select(
+    line = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey").select(
         F.lit("supply").alias("source_name"), F.lit("supply").alias("model"), F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p"),
         F.lit(None).cast("string").alias("n"),
     )
@@ -323,7 +323,7 @@ def tweet_lines(spark: SparkSession, sf: str) -> DataFrame:
             F.filter(F.array(F.struct(_concat("m", t).alias("screen_name"))), lambda m: t > 0).alias("user_mentions"),
         ).alias("entities"),
     )
-    return spread(table(spark, sf, "conversations")).select(
+    return table(spark, sf, "conversations").select(
         F.date_format(day, "yyyy-MM-dd").alias("file"), F.to_json(body).alias("line")
     )
 

@@ -1,4 +1,4 @@
-"""Session settings, the shared scratch folder and size-checked broadcasts."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -60,22 +59,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss and freezes row placement."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table that comes in fewer files than there are cores over all cores.
-
-    For inputs whose records are costly to work on. Tables of many files, as on a
-    cluster, stay as they are read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows + 1`` rows.
-
-    Above the bound the frame goes back unhinted, so the join shuffles and the
-    adaptive skew handling splits its hot keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -14,18 +14,34 @@ def read_event_files(spark: SparkSession, folder: str) -> DataFrame:
     return explode_events(read_whole_files(spark, folder, "*.json"))
 
 
+def _layouts(rep: Column) -> tuple[Column, Column]:
+    """The events of a document by either layout; null where it has another."""
+    listed = F.try_variant_get(rep, "$.events", "array<variant>")
+    whole = F.try_variant_get(rep, "$", "array<variant>")
+    return listed, F.transform(whole, lambda e: F.try_variant_get(e, "$.ground_truth", "variant"))
+
+
+def event_quarantine(docs: DataFrame) -> DataFrame:
+    """Files without events, ``(file, bytes, reason)``: text no parser takes, or another layout.
+
+    A file is held back too where some of its list are not events; ``lost`` counts them.
+    """
+    parsed = docs.select("file", F.octet_length("raw_content").cast("bigint").alias("bytes"), F.try_parse_json("raw_content").alias("rep"))
+    listed, wrapped = _layouts(F.col("rep"))
+    found = parsed.select("file", "bytes", F.col("rep").isNull().alias("broken"), F.coalesce(listed, wrapped).alias("events"))
+    lost = F.size(F.filter("events", lambda e: e.isNull()))
+    reason = F.when(F.col("broken"), F.lit("not JSON")).when(F.col("events").isNull(), F.lit("no events")).when(lost > 0, F.lit("not events"))
+    rows = found.select("file", "bytes", reason.alias("reason"), F.when(F.col("events").isNull(), F.lit(0)).otherwise(lost).cast("bigint").alias("lost"))
+    return rows.where(F.col("reason").isNotNull())
+
+
 def explode_events(docs: DataFrame) -> DataFrame:
     """One row per event from ``(raw_content, file)``.
 
-    Reads ``{"events": […]}`` and ``[{"ground_truth": {…}}]``; text that is not
-    JSON gives no rows.
+    Reads ``{"events": […]}`` and ``[{"ground_truth": {…}}]``; a file in neither
+    layout gives no rows here and one in ``event_quarantine``.
     """
-    rep = F.try_parse_json("raw_content")
-    listed = F.try_variant_get(rep, "$.events", "array<variant>")
-    wrapped = F.transform(
-        F.try_variant_get(rep, "$", "array<variant>"),
-        lambda e: F.try_variant_get(e, "$.ground_truth", "variant"),
-    )
+    listed, wrapped = _layouts(F.try_parse_json("raw_content"))
     # The outer form: the inner one would parse the text a second time to test for empty lists.
     return docs.select("file", F.posexplode_outer(F.coalesce(listed, wrapped)).alias("place", "event")).where(
         F.col("event").isNotNull()

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # A pull "since" this date asks for everything.
 FULL_LOAD = dt.date(1970, 1, 1)
+# Fields that one downloader's feeds come with and that are emptied before landing.
+BLANKED = ("postCve", "itemCve")
 
 
 @dataclass(frozen=True)
@@ -46,13 +48,13 @@ FEEDS = {
         FeedSpec("isi-news", "isi"),
         FeedSpec("isi-twitter", "isi"),
         FeedSpec("isi-company-cpe-linkedin", "isi", "full"),
-        FeedSpec("asu-zero-day-products", "asu"),
-        FeedSpec("asu-hacking-items", "asu", blank=("postCve", "itemCve")),
-        FeedSpec("asu-hacking-posts", "asu", blank=("postCve", "itemCve")),
-        FeedSpec("asu-twitter", "asu"),
-        FeedSpec("asu-exploit-db", "asu"),
-        FeedSpec("asu-dark-mention-rules", "asu"),
-        FeedSpec("asu-dumps-s3-mapping", "asu"),
+        FeedSpec("asu-zero-day-products", "asu", blank=BLANKED),
+        FeedSpec("asu-hacking-items", "asu", blank=BLANKED),
+        FeedSpec("asu-hacking-posts", "asu", blank=BLANKED),
+        FeedSpec("asu-twitter", "asu", blank=BLANKED),
+        FeedSpec("asu-exploit-db", "asu", blank=BLANKED),
+        FeedSpec("asu-dark-mention-rules", "asu", blank=BLANKED),
+        FeedSpec("asu-dumps-s3-mapping", "asu", blank=BLANKED),
         FeedSpec("armstrong", "armstrong", "window"),
         FeedSpec("ruhr-cerber-domains", "ruhr", "full"),
         FeedSpec("hackmageddon", "hackmageddon", "full"),

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import io
 import itertools
+import sys
 import tarfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,40 +19,55 @@ CHUNK = 10_000
 
 
 def _first_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of each archive's first member; what stops an archive comes as a row of its own."""
     for batch in batches:
         for name, content in zip(batch["file"], batch["content"]):
             try:
                 with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
                     member = next(iter(tar), None)
                     stream = member and tar.extractfile(member)
-                    if not stream:
-                        continue
-                    while lines := list(itertools.islice(stream, CHUNK)):
+                    read = 0
+                    while stream and (lines := list(itertools.islice(stream, CHUNK))):
+                        read += sum(map(len, lines))
                         text = [line.decode("utf-8", "replace").rstrip("\r\n") for line in lines]
-                        yield pd.DataFrame({"file": name, "line": text})
-            except (tarfile.TarError, EOFError, OSError):
-                continue  # an unreadable archive ends here
+                        yield pd.DataFrame({"file": name, "line": text, "error": None})
+                    if not stream:
+                        raise tarfile.ReadError("no file in the archive")
+                    if read < member.size:
+                        raise EOFError(f"{read} of {member.size} bytes")
+            except (tarfile.TarError, EOFError, OSError, zlib.error) as error:
+                yield pd.DataFrame({"file": [name], "line": [None], "error": [f"{type(error).__name__}: {error}"]})
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
+
+
+def _packed(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file, line, error)`` of the archives that no plain file stands for."""
+    path = F.col("_metadata.file_path")
+    base = F.regexp_extract(path, r"([^/]+?)(\.tar\.gz|\.json)$", 1)
+    files = spark.read.format("binaryFile")
+    packed = files.option("pathGlobFilter", "*.tar.gz").load(folder).select(base.alias("file"), "content")
+    # Without the content column only the listing is read.
+    names = files.option("pathGlobFilter", "*.json").load(folder).select(base.alias("file")).distinct()
+    return packed.join(names, "file", "left_anti").mapInPandas(_first_members, f"{LINE}, error string")
 
 
 def read_tweet_files(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of all tweet files as ``(file, line)``.
 
     ``file`` is the base name without suffixes. Where a plain file and an
-    archive share it, only the plain one, first in name order, is read.
+    archive share it, only the plain one, first in name order, is read. Archives that
+    end early give the lines they have; ``archive_quarantine`` names them.
     """
-    path = F.col("_metadata.file_path")
-    base = F.regexp_extract(path, r"([^/]+?)(\.tar\.gz|\.json)$", 1)
-    plain = (
-        spark.read.option("pathGlobFilter", "*.json").text(folder).select(base.alias("file"), F.col("value").alias("line"))
-    )
-    packed = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.tar.gz")
-        .load(folder)
-        .select(base.alias("file"), "content")
-    )
-    names = plain.select("file").distinct()
-    return plain.unionByName(packed.join(names, "file", "left_anti").mapInPandas(_first_members, LINE))
+    base = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)\.json$", 1)
+    plain = spark.read.option("pathGlobFilter", "*.json").text(folder).select(base.alias("file"), F.col("value").alias("line"))
+    return plain.unionByName(_packed(spark, folder).where(F.col("error").isNull()).select("file", "line"))
+
+
+def archive_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives that cannot be read to their end, ``(file, error)``."""
+    return _packed(spark, folder).where(F.col("error").isNotNull()).select("file", "error")
 
 
 def parse_tweets(lines: DataFrame) -> DataFrame:

@@ -17,7 +17,8 @@ from ..sources.cdr import add_partitions
 from ..sources.feeds import FeedSpec
 from ..sources.landing import drop_known, land
 
-LATE = "2 days"
+LATE_DAYS = 2
+COUNTS = "source_name string, day timestamp, count_downloaded bigint, late boolean"
 
 
 def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", glob: str | None = None, per_trigger: int | None = None) -> DataFrame:
@@ -59,30 +60,42 @@ def upsert_stream(statements: DataFrame, root: str, checkpoint: str, buckets: in
     )
 
 
-def daily_count_stream(records: DataFrame, out: str, checkpoint: str, late: str = LATE) -> StreamingQuery:
-    """Records per feed and day, corrected as records come in up to two days late.
+def daily_count_stream(records: DataFrame, out: str, checkpoint: str, late_days: int = LATE_DAYS) -> StreamingQuery:
+    """Records per feed and day; those that come in too late are counted aside.
 
-    ``records`` has ``ts`` (timestamp) and ``source_name``. Each micro-batch writes
-    the counts it changed; ``latest_counts`` reads the last one of each day.
+    ``records`` has ``ts`` (timestamp) and ``source_name``. Each micro-batch adds its own
+    counts, a row for each feed and day, so nothing is held in memory between batches and a
+    batch that is run again replaces its own rows only. A day is late when it lies more
+    than ``late_days`` before the newest day of earlier batches: ``latest_counts``
+    leaves it out and ``late_counts`` returns it, so that no row is lost.
     """
-    counts = (
-        records.withWatermark("ts", late)
-        .groupBy(F.window("ts", "1 day").alias("w"), "source_name")
-        .agg(F.count("*").alias("count_downloaded"))
-        .select("source_name", F.col("w.start").alias("day"), "count_downloaded")
-    )
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        spark, folder = batch.sparkSession, increment_folder(out, f"batch-{batch_id:012d}")
+        if stage_done(spark, folder):
+            return
+        before = increments(spark, out)
+        newest = spark.read.schema(COUNTS).parquet(*before).agg(F.max("day")).head()[0] if before else None
+        late = F.lit(False) if newest is None else F.coalesce(F.datediff(F.lit(newest), "day") > late_days, F.lit(False))
+        counts = batch.groupBy("source_name", F.date_trunc("day", "ts").alias("day")).agg(F.count("*").alias("count_downloaded"))
+        counts.withColumn("late", late).write.mode("overwrite").parquet(folder)
 
-    return (
-        counts.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return records.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _counts(spark: SparkSession, out: str, late: bool) -> DataFrame:
+    rows = spark.read.schema(COUNTS).parquet(*increments(spark, out)).where(F.col("late") == late)
+    return rows.groupBy("source_name", "day").agg(F.sum("count_downloaded").alias("count_downloaded"))
 
 
 def latest_counts(spark: SparkSession, out: str) -> DataFrame:
-    changes = spark.read.schema("source_name string, day timestamp, count_downloaded bigint, batch_id bigint").parquet(out)
-    return changes.groupBy("source_name", "day").agg(F.max_by("count_downloaded", "batch_id").alias("count_downloaded"))
+    """The counts of the days that came in time, over all batches."""
+    return _counts(spark, out, False)
+
+
+def late_counts(spark: SparkSession, out: str) -> DataFrame:
+    """The rows that came too late, counted by feed and day."""
+    return _counts(spark, out, True)
 
 
 def first_seen_stream(records: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
