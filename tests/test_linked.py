@@ -82,6 +82,27 @@ def test_large_linked_entity_is_linked_by_uri_and_kept_whole(spark):
     assert values == sorted(str(i) for i in range(10))
 
 
+def test_shape_does_not_follow_size(spark):
+    spec = frames.FrameSpec("T", {"link": frames.FrameSpec("U", {"p": None}), "p": None}, rows=frozenset({"p"}))
+
+    def made(n):
+        rows = [("hub", "U", "p", str(i), None) for i in range(n)] + [("a", "T", "p", str(i), None) for i in range(n)] + [("hub", "U", "a", "U", None)]
+        docs = frames.frame(stm(spark, [A, ("a", "T", "link", None, "hub"), *rows]), "t", spec).collect()
+        root = [json.loads(d["doc"]) for d in docs if d["doc_type"] == "t"]
+        return root, [json.loads(d["doc"])["p"] for d in docs if d["doc_type"] == "t.p"]
+
+    for n in (3, 3000):
+        root, values = made(n)
+        assert [r["uri"] for r in root] == ["a"] and "p" not in root[0] and len(root[0]["link"][0]["p"]) == n
+        assert sorted(values) == sorted(map(str, range(n)))
+    assert frames.FrameSpec.from_dict({"@type": "T", "p": {"@rows": True}}).rows == {"p"}
+
+
+def test_documents_of_one_key_all_stay(spark):
+    docs = spark.createDataFrame([("U", "x", 0, "1"), ("U", "x", 0, "2"), ("U", "x", 0, "1")], "doc_type string, uri string, part long, doc string")
+    assert rows_of(publish.unique_documents(docs)) == [("U", "x", 0, "1"), ("U", "x", 0, "2")]
+
+
 def test_ablation(spark):
     rows = merge.ablate(stm(spark, ALL), ["other"])
     assert rows.count() == len(ALL) - 1

@@ -54,13 +54,17 @@ def part_of(item: Column, parts: Column) -> Column:
     return F.conv(F.substring(F.md5(item), 1, 8), 16, 10).cast("bigint") % parts
 
 
-def split_large(rows: DataFrame, key: str, item: Column, cap: int) -> DataFrame:
+def split_large(rows: DataFrame, key: str, item: Column, cap: int | None) -> DataFrame:
     """Add ``part`` and ``parts``, so that ``(key, part)`` holds about ``cap`` different items at most.
 
     Keys with up to ``cap`` items have one part. Degrees are counted with map-side
     combining; only keys above the cap are kept, which is at most rows / cap.
-    Their rows are spread by content, so nothing is dropped.
+    Their rows are spread by content, so nothing is dropped. Without ``cap`` every key
+    has one part, and nothing is counted.
     """
+    one_part = {"part": F.lit(0).cast("bigint"), "parts": F.lit(1).cast("bigint")}
+    if cap is None:
+        return rows.withColumns(one_part)
     counted = rows.groupBy(key).agg(F.count("*").alias("_n"))
     large = cut_lineage(counted.where(F.col("_n") > cap).select(key))
     if not large.isEmpty():
@@ -69,7 +73,7 @@ def split_large(rows: DataFrame, key: str, item: Column, cap: int) -> DataFrame:
         exact = items.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > cap)
         large = cut_lineage(exact.select(key, F.ceil(F.col("_n") / cap).alias("_parts")))
     if large.isEmpty():
-        return rows.withColumns({"part": F.lit(0).cast("bigint"), "parts": F.lit(1).cast("bigint")})
+        return rows.withColumns(one_part)
     joined = rows.join(large, key, "left")
     parts = F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint")
     part = F.when(parts > 1, part_of(item, parts)).otherwise(F.lit(0).cast("bigint"))
@@ -81,8 +85,8 @@ def statement_item() -> Column:
     return F.concat_ws("|", "property", F.coalesce("value", F.lit("")), F.coalesce("object_uri", F.lit("")))
 
 
-def entities(statements: DataFrame, cap: int = 1000) -> DataFrame:
-    """One row per entity, or per part of a large one.
+def entities(statements: DataFrame, cap: int | None = None) -> DataFrame:
+    """One row per entity, whatever its size, or with ``cap`` one per part of a large one.
 
     ``(uri, part, parts, types, props)``, where ``props`` maps a property to its sorted
     values and links. Where they come from is ``entity_provenance``.

@@ -15,8 +15,8 @@ ALIAS_PREFIX = "data-"
 
 
 def unique_documents(docs: DataFrame) -> DataFrame:
-    """One document per ``(doc_type, uri, part)``; of several, the one first in text order."""
-    return docs.groupBy("doc_type", "uri", "part").agg(F.min("doc").alias("doc"))
+    """Each document once. Documents of one key that differ, as two frames may make, all stay."""
+    return docs.groupBy("doc_type", "uri", "part", F.md5("doc").alias("_hash")).agg(F.first("doc").alias("doc")).drop("_hash")
 
 
 def save_frames(docs: DataFrame, folder: str) -> None:

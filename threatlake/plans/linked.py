@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -95,6 +96,18 @@ def frame_large_entities(spark, sf):
     return frames.frame(v.supply_statements(spark, sf), "supplier", SUPPLIER_FRAME, cap=PART_ROWS)
 
 
+@query("frame_child_rows", "", """
+WITH items AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem)
+SELECT DISTINCT 'supplier' AS doc_type, 'supplier/' || s AS uri, '{"uri":"supplier/' || s || '","a":["Supplier"]}' AS doc FROM items
+UNION ALL
+SELECT 'supplier.supplies', 'supplier/' || s, '{"uri":"supplier/' || s || '","supplies":{"uri":"part/' || p || '"' ||
+       CASE WHEN p_name IS NULL THEN '' ELSE ',"a":["Part"],"name":["' || p_name || '"]' END || '}}' FROM items LEFT JOIN part ON p = p_partkey""")
+def frame_child_rows(spark, sf):
+    """Suppliers whose parts come as rows, however many there are."""
+    spec = dataclasses.replace(SUPPLIER_FRAME, rows=frozenset({"supplies"}))
+    return frames.frame(v.supply_statements(spark, sf), "supplier", spec).select("doc_type", "uri", "doc")
+
+
 @query("properties_per_type", "stm", """
 SELECT "type", string_agg(property, ',' ORDER BY property) AS properties, count(*) AS n_properties FROM (
     SELECT DISTINCT "type", property FROM stm WHERE property <> 'a') GROUP BY 1 ORDER BY n_properties DESC, "type" """)
