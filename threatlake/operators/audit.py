@@ -51,8 +51,8 @@ def recent_counts(cdr: DataFrame, as_of: dt.date, days: int = 2) -> DataFrame:
 
 
 def counts_before(cdr: DataFrame, as_of: dt.date) -> DataFrame:
-    """The backfill: every day before ``as_of``."""
-    return daily_counts(cdr.where(F.col("timestamp") < day_start(as_of)))
+    """The backfill: every day before ``as_of``; later months are not read."""
+    return daily_counts(between(cdr, None, day_start(as_of)))
 
 
 def write_counts(counts: DataFrame, path: str) -> None:

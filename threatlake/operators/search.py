@@ -126,6 +126,27 @@ def phrase_hits(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     )
 
 
+def phrase_hits_any(docs: DataFrame, phrases: DataFrame, fields: list[str]) -> DataFrame:
+    """As ``phrase_hits``, over several text fields: a phrase lies within one field, and scores add up.
+
+    ``fields`` are columns of texts or of arrays of texts.
+    """
+    kinds = dict(docs.dtypes)
+    texts = F.flatten(F.array(*[F.coalesce(f, F.array().cast("array<string>")) if kinds[f].startswith("array") else F.array(f) for f in fields]))
+    parts = docs.select("uri", F.posexplode(texts).alias("_field", "text")).where(F.col("text").isNotNull())
+    hits = phrase_hits(parts.select(F.struct("uri", "_field").alias("uri"), "text"), phrases)
+    return hits.groupBy("phrase", F.col("uri.uri").alias("uri")).agg(F.sum("score").alias("score"))
+
+
+def indicator_matches(docs: DataFrame, indicators: DataFrame, fields: list[str], default_publisher: str, top: int = TOP_HITS) -> DataFrame:
+    """Indicators ``(phrase, occurred)`` looked up in any field, then counted by publisher.
+
+    The best hits of each indicator are kept, and each match shows when the indicator last occurred.
+    """
+    best = top_hits(phrase_hits_any(docs, indicators.select("phrase"), fields), top)
+    return publisher_matches(best, docs, indicators, default_publisher)
+
+
 def top_hits(hits: DataFrame, top: int = TOP_HITS) -> DataFrame:
     """The best hits per phrase; a popular phrase is cut down before the shuffle."""
     best = Window.partitionBy("phrase").orderBy(F.desc("score"), "uri")

@@ -13,12 +13,13 @@ from ..operators import audit
 from ..operators.extract import CVE, MSID, ExtractorSpec, extract
 from ..operators.frames import FrameSpec, affected, frame
 from ..operators.mapping import MappingSpec, route, statements
-from ..operators.publish import save_frames, unique_documents
-from ..operators.state import BUCKETS, changed_documents, increment_folder, later_increment, point_to, pointed, read_state, stage, upsert
+from ..operators.publish import alias_of, expired_aliases, publish, save_frames, snapshot_rows, unique_documents
+from ..operators.state import BUCKETS, changed_documents, increment_folder, later_increment, point_to, pointed, read_state, stage, stage_done, upsert
 from ..session import cut_lineage
 from ..sources.cdr import since, with_json
 
 DOCUMENT = ["doc_type", "uri"]
+CATALOG = "snapshot date, doc_type string, rows bigint, bytes bigint, alias string"
 
 
 def refresh(
@@ -81,6 +82,30 @@ def refresh(
     return delta
 
 
+def publish_day(spark: SparkSession, out: str, day: dt.date) -> DataFrame:
+    """Publish the current documents as that day's version; return the catalog.
+
+    A version is a folder of its own and complete before the ``latest`` pointer names it. The
+    catalog gets a row for each type with the day's alias; aliases of ``KEEP_DAYS`` days or more are
+    taken away, and their snapshots are named by none. A day that is published already stays as it is.
+    """
+    version = f"{out}/published/{day:%Y-%m-%d}"
+    folder = f"{out}/catalog"
+    entry = f"{folder}/day={day:%Y-%m-%d}"
+    if not stage_done(spark, entry):
+        docs = spark.read.parquet(pointed(spark, f"{out}/documents/current"))
+        save_frames(docs, f"{version}/frames")
+        publish(spark, f"{version}/frames", f"{version}/json")
+        snapshot_rows(docs, day, alias_of(day)).write.mode("overwrite").parquet(entry)
+        point_to(spark, f"{out}/published/latest", version)
+    catalog = spark.read.schema(CATALOG).parquet(folder)
+    newest = catalog.agg(F.max("snapshot")).head()[0]
+    old = expired_aliases(catalog, newest).select("alias")
+    gone = old.withColumn("_gone", F.lit(True))
+    named = F.when(F.col("_gone").isNull(), F.col("alias"))
+    return catalog.join(gone, "alias", "left").select("snapshot", "doc_type", "rows", "bytes", named.alias("alias"))
+
+
 def audit_day(spark: SparkSession, cdr: DataFrame, out: str, policy: DataFrame, as_of: dt.date) -> DataFrame:
     """Recount two days, write the day's report, return the alerts."""
     audit.write_counts(audit.recent_counts(cdr, as_of), f"{out}/counts")

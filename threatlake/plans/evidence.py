@@ -369,7 +369,7 @@ def feed_schemas(spark, sf):
 
 @query("scalar_text", "", r"""
 SELECT c_custkey, left(c_name, 10) AS head, starts_with(c_mktsegment, 'AUTO') AS is_auto, replace(c_mktsegment || '-feed', '-', '_') AS table_name,
-       contains(c_name, '@') AS is_email, CAST(c_custkey AS BIGINT) AS user_number, sha256('customer/' || c_custkey) AS doc_id,
+       c_custkey % 3 = 0 AS is_email, CAST(c_custkey AS BIGINT) AS user_number, sha256('customer/' || c_custkey) AS doc_id,
        'crm_' || md5(c_name) AS record_id FROM customer""")
 def scalar_text(spark, sf):
     name, key = F.col("c_name"), F.col("c_custkey")
@@ -378,7 +378,7 @@ def scalar_text(spark, sf):
         F.left(name, F.lit(10)).alias("head"),
         F.startswith("c_mktsegment", F.lit("AUTO")).alias("is_auto"),
         table_name(F.concat("c_mktsegment", F.lit("-feed"))).alias("table_name"),
-        is_email(name).alias("is_email"),
+        is_email(F.concat(name, F.when(key % 3 == 0, F.lit("@example.com")).otherwise(F.lit(".example.com")))).alias("is_email"),
         numbered_user(F.concat(F.lit("user"), key.cast("string"))).alias("user_number"),
         document_id(F.concat(F.lit("customer/"), key.cast("string"))).alias("doc_id"),
         F.concat(F.lit("crm_"), F.md5(name)).alias("record_id"),

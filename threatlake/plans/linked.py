@@ -11,7 +11,7 @@ from ..operators import frames, merge, profile, publish, state
 from ..schema import STATEMENT_COLUMNS
 from ..session import cut_lineage, scratch_path
 from . import views as v
-from .daily import refresh
+from .daily import publish_day, refresh
 from .registry import query
 
 ORDER_FRAME = frames.FrameSpec.from_dict(
@@ -186,6 +186,26 @@ def refresh_increment(spark, sf):
     return changed.select("uri", *sizes)
 
 
+@query("publish_run", "cdr", f"""
+WITH n AS (SELECT count(DISTINCT raw_content::JSON ->> 'user') FILTER ("timestamp" <= {LAST_DAY}) AS before, count(DISTINCT raw_content::JSON ->> 'user') AS after FROM cdr)
+SELECT * FROM (SELECT 'user' AS doc_type, '2024-01-22' AS snapshot, before AS rows, '-' AS alias, before AS published FROM n
+    UNION ALL SELECT 'user', '2024-01-30', after, 'data-2024-01-30', after FROM n)""")
+def publish_run(spark, sf):
+    """Landed records to published snapshots twice: the older alias has gone, both versions stand, the pointer is at the newer."""
+    records, routes, models = v.activity(spark, sf)
+    out, spec = scratch_path(spark, "publish-run"), {"user": v.ACTIVITY_FRAME}
+    refresh(spark, records.where(F.col("timestamp") <= LAST_DAY), out, routes, models, spec, buckets=8)
+    publish_day(spark, out, dt.date(2024, 1, 22))
+    refresh(spark, records, out, routes, models, spec, mark=LAST_DAY, buckets=8)
+    catalog = publish_day(spark, out, dt.date(2024, 1, 30))
+    if not state.pointed(spark, f"{out}/published/latest").endswith("2024-01-30"):
+        raise RuntimeError("the pointer did not move")
+    day = F.date_format("snapshot", "yyyy-MM-dd")
+    written = spark.read.json([f"{out}/published/2024-01-{d}/json/user" for d in (22, 30)])
+    published = written.groupBy(F.regexp_extract(F.col("_metadata.file_path"), r"published/([0-9-]+)/", 1).alias("snapshot")).agg(F.count("*").alias("published"))
+    return catalog.select("doc_type", day.alias("snapshot"), "rows", F.coalesce("alias", F.lit("-")).alias("alias")).join(published, "snapshot")
+
+
 @query("rekey_documents", "", """
 SELECT sha256('customer/' || c_custkey) AS doc_id, '{"Customer_Party":{"name":"' || c_name || '","uri":"customer/' || c_custkey || '"}}' AS doc FROM customer""")
 def rekey_documents(spark, sf):

@@ -116,6 +116,21 @@ def search_publisher_matches(spark, sf):
     return rows.select("publisher", F.md5("phrase").alias("phrase_id"), "documents", day("first_date"), day("last_date"), "occurred")
 
 
+@query("indicator_matches", "docs ev", """
+WITH i AS (SELECT k, strftime(max(CAST(ts AS DATE)), '%Y-%m-%d') AS occurred FROM ev GROUP BY 1),
+dated AS (SELECT uri, unnest(CASE WHEN len(publisher) = 0 THEN ['unknown-publisher'] ELSE publisher END) AS publisher,
+                 coalesce(date_published, start_date, observed_date, date_recorded) AS d FROM docs)
+SELECT publisher, 'document ' || k AS phrase, count(DISTINCT uri) AS documents, coalesce(strftime(min(d), '%Y-%m-%d'), '-') AS first_date,
+       coalesce(strftime(max(d), '%Y-%m-%d'), '-') AS last_date, occurred FROM i JOIN dated ON uri = 'doc/' || k GROUP BY publisher, k, occurred""")
+def indicator_matches(spark, sf):
+    """Each indicator's last occurrence, its matches in names, texts and publishers, and their publishers."""
+    events = v.numbered_events(spark, sf)
+    latest = events.groupBy(F.concat(F.lit("document "), F.col("k").cast("string")).alias("phrase")).agg(F.date_format(F.max("ts"), "yyyy-MM-dd").alias("occurred"))
+    rows = search.indicator_matches(v.doc_index(spark, sf), latest, ["name", "text", "publisher"], PUBLISHER)
+    day = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit("-")).alias(c)
+    return rows.select("publisher", "phrase", "documents", day("first_date"), day("last_date"), "occurred")
+
+
 @query("search_gazetteer", "docs", r"""
 WITH terms AS (SELECT DISTINCT term, kind, trim(regexp_replace(lower(term), '[^\p{L}\p{N}]+', ' ', 'g')) AS pnorm FROM (
     SELECT array_to_string(string_split(text, ' ')[1:2], ' ') AS term, 'passage' AS kind FROM benchmark

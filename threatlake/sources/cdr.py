@@ -59,11 +59,10 @@ def since(cdr: DataFrame, mark: int | str) -> DataFrame:
     return cdr.where((F.col("timestamp") > mark) & _month_bound(cdr, mark, None))
 
 
-def between(cdr: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Records with ``lo <= timestamp < hi``."""
-    return cdr.where(
-        (F.col("timestamp") >= lo) & (F.col("timestamp") < hi) & _month_bound(cdr, lo, hi - 1)
-    )
+def between(cdr: DataFrame, lo: int | None, hi: int) -> DataFrame:
+    """Records with ``lo <= timestamp < hi``; from the beginning without ``lo``."""
+    start = F.lit(True) if lo is None else F.col("timestamp") >= lo
+    return cdr.where(start & (F.col("timestamp") < hi) & _month_bound(cdr, lo, hi - 1))
 
 
 def with_json(cdr: DataFrame) -> DataFrame:
