@@ -140,3 +140,26 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 7 of near equal bytes, copies together."""
     out = sharding.shard(documents(spark, sf_dir), 8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+CHECKS["op5_mix_sources"] = r"""
+WITH d AS (SELECT doc_id, text, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, ([5.0, 2.0, 1.0])[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)]::DOUBLE AS w
+      FROM d GROUP BY source),
+c AS (SELECT *, source_size * 3.0::DOUBLE AS cap, sum(source_size) OVER () AS total FROM s),
+f AS (SELECT *, cap / w AS bound, (CAST(total AS DOUBLE) - coalesce(sum(cap) OVER (ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(w) OVER (ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
+t AS (SELECT source, source_size, least(cap, w * (SELECT min_by(level, bound) FROM f WHERE level <= bound)) AS target FROM f),
+r AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+             CAST('0x' || substr(md5('17' || chr(1) || doc_id || chr(1) || md5(coalesce(text, ''))), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM r
+"""
+
+CHECKS["op6_vector_duplicates"] = """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+r AS (SELECT vec_id AS n, vec_id AS m FROM e UNION SELECT l.b, r.m FROM r JOIN l ON l.a = r.n),
+k AS (SELECT n AS vec_id, min(m) AS component_id FROM r GROUP BY n)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = k.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM k
+"""
