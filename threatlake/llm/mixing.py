@@ -65,13 +65,15 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0
     number of sources, which adaptive execution sees, and a source that holds most rows is
     split as a skewed join.
     """
-    size, mix = free_name(docs, "_size"), free_name(docs, "mix")
-    sized = docs.withColumn(size, n_words(F.col("text")))
+    size, number, mix = free_name(docs, "_size"), free_name(docs, "_number"), free_name(docs, "mix")
+    # Made before the join, so that a reader of ``mix`` alone shuffles no texts.
+    chance = uniform(seed, F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    sized = docs.withColumns({size: n_words(F.col("text")), number: chance})
     sizes = sized.groupBy("source").agg(F.sum(size).alias("source_size"))
     aimed = targets(sizes, weights, share, max_rate).select(F.struct("source", "source_size", "target").alias("_aim"))
     joined = sized.join(aimed, F.col("source").eqNullSafe(F.col("_aim.source")))
     rate = F.when(F.col("_aim.source_size") > 0, F.col("_aim.target") / F.col("_aim.source_size")).otherwise(0.0)
-    extra = uniform(seed, F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit("")))) < rate - F.floor(rate)
+    extra = F.col(number) < rate - F.floor(rate)
     copies = F.floor(rate).cast("int") + extra.cast("int")
     made = F.struct(F.col(size).alias("size"), "_aim.source_size", "_aim.target", copies.alias("copies"))
     return joined.select(*docs.columns, made.alias(mix))
