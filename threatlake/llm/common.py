@@ -28,6 +28,17 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, so that what a function makes of it is small; an empty batch has none."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def release() -> None:
+    """Give Arrow's unused memory back: Spark's Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+
+
 def add_struct(df: DataFrame, source: str, into: str, kind: T.StructType, of: Callable[[str | None], tuple], state: Callable = None) -> DataFrame:
     """``df`` with a struct column computed row by row from one text column, batch by batch.
 
@@ -43,11 +54,13 @@ def add_struct(df: DataFrame, source: str, into: str, kind: T.StructType, of: Ca
 
         types = [to_arrow_type(f.dataType) for f in kind.fields]
         held = state() if state else None
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(source))
-            rows = [of(t.as_py(), held) if state else of(t.as_py()) for t in texts]
-            columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
-            made = pa.StructArray.from_arrays(columns, names=fields)
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, into])
+        for whole in batches:
+            for batch in slices(whole):
+                texts = batch.column(batch.schema.get_field_index(source))
+                rows = [of(t.as_py(), held) if state else of(t.as_py()) for t in texts]
+                columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), types)]
+                made = pa.StructArray.from_arrays(columns, names=fields)
+                yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, into])
+        release()
 
     return df.mapInArrow(run, schema)

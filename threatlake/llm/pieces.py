@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import free_name
+from .common import free_name, release, slices
 
 MARK = "▁"
 #: A chunk, its markers written as spaces.
@@ -120,11 +120,11 @@ def encoded(docs: DataFrame, model: str, into: str | None = None, table: int = T
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, table)
         for whole in batches:
-            for at in range(0, whole.num_rows, slice_rows):
-                batch = whole.slice(at, slice_rows)
+            for batch in slices(whole, slice_rows):
                 texts = [t.as_py() or "" for t in batch.column(batch.schema.get_field_index("text"))]
                 ids = [i.astype("<u4").tobytes() for i in encoder.encode(texts)]
                 yield _append(batch, name, pa.array(ids, pa.binary()))
+        release()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
 
@@ -136,10 +136,10 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", into: str | None = No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = load(model)
         for whole in batches:
-            for at in range(0, whole.num_rows, slice_rows):
-                batch = whole.slice(at, slice_rows)
+            for batch in slices(whole, slice_rows):
                 held = [b.as_py() for b in batch.column(batch.schema.get_field_index(ids))]
                 texts = [None if b is None else library.decode(np.frombuffer(b, "<u4").tolist()) for b in held]
                 yield _append(batch, name, pa.array(texts, pa.string()))
+        release()
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
