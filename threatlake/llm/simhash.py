@@ -41,18 +41,16 @@ def fingerprint(text: str | None, shingle: int) -> int:
     if not words:
         return 0
     whole = b" ".join(words)
-    if len(words) <= shingle:
-        parts = [whole]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = np.concatenate([[0], ends[:-shingle]]).tolist()
-        parts = [whole[a:b] for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())]
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    n = max(1, len(words) - shingle + 1)
+    starts, ends = starts[:n], ends[-n:]
     counts = np.zeros(BITS, np.int64)
-    for at in range(0, len(parts), 1 << 15):
-        some = parts[at : at + (1 << 15)]
+    for at in range(0, n, 1 << 15):
+        some = [whole[x:y] for x, y in zip(starts[at : at + (1 << 15)].tolist(), ends[at : at + (1 << 15)].tolist())]
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, some, repeat(SEED)), "<u8", len(some))
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(parts), bitorder="little").view("<i8")[0])
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
