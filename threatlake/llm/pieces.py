@@ -27,7 +27,7 @@ from .common import free_name, release, slices
 MARK = "▁"
 #: A chunk, its markers written as spaces.
 CHUNK = re.compile(" +[^ ]*")
-TABLE = 400_000
+TABLE = 150_000
 
 
 def load(path: str):
