@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -35,8 +36,11 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
 
 
 def release() -> None:
-    """Give Arrow's unused memory back: Spark's Python workers live on from task to task."""
+    """Give unused memory back to the system: Spark's Python workers live on from task to task."""
     pa.default_memory_pool().release_unused()
+    library = ctypes.CDLL(None)
+    if hasattr(library, "malloc_trim"):
+        library.malloc_trim(0)
 
 
 def add_struct(df: DataFrame, source: str, into: str, kind: T.StructType, of: Callable[[str | None], tuple], state: Callable = None) -> DataFrame:

@@ -124,6 +124,7 @@ def encoded(docs: DataFrame, model: str, into: str | None = None, table: int = T
                 texts = [t.as_py() or "" for t in batch.column(batch.schema.get_field_index("text"))]
                 ids = [i.astype("<u4").tobytes() for i in encoder.encode(texts)]
                 yield _append(batch, name, pa.array(ids, pa.binary()))
+        del encoder
         release()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
