@@ -21,7 +21,7 @@ from ..sources.cdr import add_partitions, between, quarantine, query_cdr, since,
 from ..sources.events import event_quarantine
 from ..sources.feeds import FEEDS, FULL_LOAD, completeness, pulls
 from ..sources.files import rows_as_json
-from ..sources.landing import as_keyed_json, backup, drop_known, import_partitions, land, write_cdr
+from ..sources.landing import as_keyed_json, backup_pulls, drop_known, import_partitions, land, write_cdr
 from . import views as v
 from .registry import query
 
@@ -146,7 +146,7 @@ def event_quarantine_files(spark, sf):
     return event_quarantine(v.table(spark, sf, "documents").select(F.concat(F.lit("file-"), "doc_id").alias("file"), raw.alias("raw_content")))
 
 
-PULL_DAYS = [dt.date(2024, 1, d) for d in (14, 15, 16)]
+PULL_DAY = dt.date(2024, 1, 16)  # asked for by the since and window modes
 PULL_MODES = {"hg-blogs": "since", "armstrong": "window", "hackmageddon": "full"}
 
 
@@ -156,15 +156,14 @@ m AS (SELECT * FROM (VALUES ('hg-blogs', DATE '2024-01-16', DATE '2024-01-31'),
 SELECT source_name, CAST(sum(n) FILTER (d BETWEEN a AND b) AS BIGINT) AS pulled, (SELECT CAST(sum(n) AS BIGINT) FROM p) AS total, CAST(sum(n) AS BIGINT) AS landed,
        strftime(max(d), '%Y-%m-%d') AS last_pull, true AS complete FROM p, m GROUP BY 1""")
 def feed_pulls(spark, sf):
-    """Raw pulls of three days backed up for three feeds, each read by its mode and held against its total."""
+    """Every event backed up for three feeds as a pull of its own day, each read by its mode and held against its total."""
     root, events = scratch_path(spark, "pulls"), v.table(spark, sf, "events")
-    lines = events.where(F.to_date("ts").between(PULL_DAYS[0], PULL_DAYS[-1])).select("ts", F.col("props").alias("raw_content"))
-    for source in PULL_MODES:
-        for day in PULL_DAYS:
-            backup(lines.where(F.to_date("ts") == F.lit(day)).select("raw_content"), root, source, day)
-    read = [pulls(spark, root, FEEDS[s], PULL_DAYS[-1]).groupBy("source_name").agg(F.count("*").alias("pulled")) for s in PULL_MODES]
+    lines = events.select(F.col("props").alias("raw_content"), F.to_date("ts").alias("pull_date"))
+    sources = F.array(*[F.lit(s) for s in PULL_MODES])
+    backup_pulls(lines.withColumn("source_name", F.explode(sources)), root)
+    read = [pulls(spark, root, FEEDS[s], PULL_DAY).groupBy("source_name").agg(F.count("*").alias("pulled")) for s in PULL_MODES]
     whole = reduce(DataFrame.unionByName, [pulls(spark, root, FEEDS[s], FULL_LOAD) for s in PULL_MODES])
-    totals = lines.agg(F.count("*").alias("total")).select(F.explode(F.array(*[F.lit(s) for s in PULL_MODES])).alias("source_name"), "total")
+    totals = lines.agg(F.count("*").alias("total")).select(F.explode(sources).alias("source_name"), "total")
     done = completeness(whole, totals)
     return done.join(reduce(DataFrame.unionByName, read), "source_name").select(
         "source_name", "pulled", "total", "landed", F.date_format("last_pull", "yyyy-MM-dd").alias("last_pull"), "complete"

@@ -92,13 +92,20 @@ def import_partitions(spark: SparkSession, path: str, fmt: str = "parquet") -> D
 
 def backup(raw: DataFrame, root: str, source: str, pull_date: dt.date) -> None:
     """Raw copy of one pull, in the folder layout that the feed reader prunes by."""
-    (
-        raw.select(F.col("raw_content").alias("value"), F.lit(source).alias("source_name"), F.lit(pull_date).alias("pull_date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_name", "pull_date")
-        .text(root)
-    )
+    _write_pulls(raw.select(F.col("raw_content").alias("value"), F.lit(source).alias("source_name"), F.lit(pull_date).alias("pull_date")), root)
+
+
+def backup_pulls(raw: DataFrame, root: str) -> None:
+    """Raw copies of many pulls in one write; ``raw`` has ``raw_content``, ``source_name`` and ``pull_date``.
+
+    The rebalance hint lets a pull that holds most rows be written by many tasks.
+    """
+    _write_pulls(raw.select(F.col("raw_content").alias("value"), "source_name", "pull_date").hint("rebalance", "source_name", "pull_date"), root)
+
+
+def _write_pulls(pulls: DataFrame, root: str) -> None:
+    """Only the pulls that have rows are replaced."""
+    pulls.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_name", "pull_date").text(root)
 
 
 def as_keyed_json(records: DataFrame, key: str, *columns: str) -> DataFrame:
