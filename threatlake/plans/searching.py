@@ -139,9 +139,8 @@ SELECT uri, term, kind, CAST((length(wide) - length(replace(wide, needle, '')))
     SELECT uri, term, kind, ' ' || replace(norm, ' ', '  ') || ' ' AS wide, ' ' || replace(pnorm, ' ', '  ') || ' ' AS needle
     FROM docs JOIN terms ON contains(' ' || norm || ' ', ' ' || pnorm || ' ') AND pnorm <> '')""")
 def search_gazetteer(spark, sf):
-    """Listed names found in texts, here the first two words of each passage and the regions."""
-    head = F.array_join(F.slice(F.split("text", " "), 1, 2), " ")
-    passages = v.table(spark, sf, "benchmark").select(head.alias("term"), F.lit("passage").alias("kind"))
+    """Listed names found in texts, here whole passages and the regions."""
+    passages = v.table(spark, sf, "benchmark").select(F.col("text").alias("term"), F.lit("passage").alias("kind"))
     regions = v.table(spark, sf, "region").select(F.col("r_name").alias("term"), F.lit("region").alias("kind"))
     return search.extract_entities(v.doc_index(spark, sf).select("uri", "text"), passages.unionByName(regions).distinct())
 
