@@ -73,26 +73,51 @@ def parent_edges(hosts: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"), one).unionByName(pairs.select(F.col("b").alias("src"), F.col("a").alias("dst"), one))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.8, rounds: int = 9, checkpoint_every: int = 3) -> DataFrame:
-    """Scores ``kind, host, score`` of ``rounds`` steps from the seeds ``kind, host, mass``.
+def propagate(
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.8, rounds: int | None = 9, checkpoint_every: int = 3, tolerance: float = 1e-6, max_rounds: int = 2000
+) -> DataFrame:
+    """Scores ``kind, host, score`` from the seeds ``kind, host, mass``, after ``rounds`` steps or, with None, on convergence.
 
     ``edges`` are ``kind, src, dst, weight``; a host passes ``damping`` of its score on, by weight.
-    Both kinds run in one pass. What later rounds would add is less than damping ** rounds.
+    Both kinds run in one pass. What later rounds would add is less than damping ** rounds. Scores only
+    grow, and have converged when none grew by more than ``tolerance`` of itself since the last
+    checkpoint: a host reached since then has grown by all of its score, so every host that has a path from a
+    seed is reached. More than ``max_rounds`` rounds are an error.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("_out"))
     salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).alias("_salt")
     moves = cut_lineage(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", salt, (F.col("weight") / F.col("_out") * damping).alias("_p")))
     start = cut_lineage(seeds.select("kind", "host", (F.col("mass") * (1 - damping)).alias("score")))
     score = start
-    for k in range(rounds):
+    k, before = 0, start
+    while k != rounds:
         salted = score.select("kind", F.col("host").alias("src"), "score", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("_salt"))
         moved = moves.join(salted, ["kind", "src", "_salt"]).select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("_p")).alias("score"))
         score = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (k + 1) % checkpoint_every == 0 or k + 1 == rounds:
+        k += 1
+        if k % checkpoint_every == 0 or k == rounds:
             score = cut_lineage(score)
+            if rounds is None:
+                if growth(score, before) <= tolerance:
+                    break
+                if k >= max_rounds:
+                    raise RuntimeError(f"host scores have not converged after {k} rounds")
+                before = score
     return score
 
 
+def growth(score: DataFrame, before: DataFrame) -> float:
+    """The largest part of a score that came since ``before``."""
+    old = before.select("kind", "host", F.col("score").alias("_old"))
+    part = (F.col("score") - F.coalesce("_old", F.lit(0.0))) / F.nullif("score", F.lit(0.0))
+    return score.join(old, ["kind", "host"], "left").agg(F.max(part).alias("part")).head()["part"] or 0.0
+
+
+def significant(score: Column, digits: int = 12) -> Column:
+    """Rounded relative to its size, so that the order of a sum does not show and small scores stay."""
+    return F.format_string(f"%.{digits - 1}e", score).cast("double")
+
+
 def host_verdicts(pages: DataFrame, threshold: float = 0.6, **options) -> DataFrame:
     """``host, trust, distrust, verdict`` of every host of ``pages``: host, html, verdict by rule or null."""
     per_host = cut_lineage(pages.where("host != ''").groupBy("host").agg(*[F.sum((F.col("verdict") == v).cast("double")).alias(v) for v in (ALLOW, BLOCK)]))
@@ -103,8 +128,9 @@ def host_verdicts(pages: DataFrame, threshold: float = 0.6, **options) -> DataFr
     edges = cut_lineage(links.unionByName(parent_edges(hosts)).groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
     forward = edges.select(F.lit(ALLOW).alias("kind"), "src", "dst", "weight")
     against = edges.select(F.lit(BLOCK).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    options = {"rounds": None, "checkpoint_every": 6, **options}
     scores = propagate(forward.unionByName(against), seeds, **options).groupBy("host").agg(
-        *[F.round(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)), 12).alias(c) for k, c in ((ALLOW, "trust"), (BLOCK, "distrust"))]
+        *[significant(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0))).alias(c) for k, c in ((ALLOW, "trust"), (BLOCK, "distrust"))]
     )
     whole = per_host.select("host").join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
     blocked = F.col("distrust") > (F.col("trust") + F.col("distrust")) * threshold
