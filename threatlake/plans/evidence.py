@@ -151,7 +151,7 @@ PULL_MODES = {"hg-blogs": "since", "armstrong": "window", "hackmageddon": "full"
 
 
 @query("feed_pulls", "ev", """
-WITH p AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM ev WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-14' AND DATE '2024-01-16' GROUP BY 1),
+WITH p AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM ev GROUP BY 1),
 m AS (SELECT * FROM (VALUES ('hg-blogs', DATE '2024-01-16', DATE '2024-01-31'), ('armstrong', DATE '2024-01-15', DATE '2024-01-16'), ('hackmageddon', DATE '2024-01-01', DATE '2024-01-31')) v(source_name, a, b))
 SELECT source_name, CAST(sum(n) FILTER (d BETWEEN a AND b) AS BIGINT) AS pulled, (SELECT CAST(sum(n) AS BIGINT) FROM p) AS total, CAST(sum(n) AS BIGINT) AS landed,
        strftime(max(d), '%Y-%m-%d') AS last_pull, true AS complete FROM p, m GROUP BY 1""")

@@ -133,7 +133,7 @@ def indicator_matches(spark, sf):
 
 @query("search_gazetteer", "docs", r"""
 WITH terms AS (SELECT DISTINCT term, kind, trim(regexp_replace(lower(term), '[^\p{L}\p{N}]+', ' ', 'g')) AS pnorm FROM (
-    SELECT array_to_string(string_split(text, ' ')[1:2], ' ') AS term, 'passage' AS kind FROM benchmark
+    SELECT text AS term, 'passage' AS kind FROM benchmark
     UNION ALL SELECT r_name, 'region' FROM region))
 SELECT uri, term, kind, CAST((length(wide) - length(replace(wide, needle, ''))) / length(needle) AS BIGINT) AS mentions FROM (
     SELECT uri, term, kind, ' ' || replace(norm, ' ', '  ') || ' ' AS wide, ' ' || replace(pnorm, ' ', '  ') || ' ' AS needle
