@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, mixing, pieces, quality, secret_scan, sharding, simhash, url_trust, vectors
+from . import chat, line_dedup, mixing, pieces, quality, secret_scan, sharding, simhash, toxicity, url_trust, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -142,6 +142,15 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from labels of the other folds."""
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    out = toxicity.scored(docs, toxicity.learned(docs, labels, sample=20_000), "toxicity")
+    predicted = (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted")
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "toxicity.score", predicted, "toxicity.hits", "toxicity.quoted")
+
+
 CHECKS["op5_mix_sources"] = r"""
 WITH d AS (SELECT doc_id, text, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, ([5.0, 2.0, 1.0])[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)]::DOUBLE AS w
