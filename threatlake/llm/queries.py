@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, mixing, pieces, quality, secret_scan, sharding, simhash, toxicity, url_trust, vectors
+from . import chat, line_dedup, manifest, mixing, pieces, quality, secret_scan, sharding, simhash, toxicity, url_trust, vectors
+from .common import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -151,6 +152,24 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "toxicity.score", predicted, "toxicity.hits", "toxicity.quoted")
 
 
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof of inclusion, checked on what is presented: a third of the texts come in lower case."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*FIELDS)
+    low = [F.translate("text", UPPER, LOWER) if f == "text" else F.col(f) for f in FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    made = manifest.build(docs, FIELDS, "lang", "doc_id", presented=F.when(tampered, manifest.digest_of(low)))
+    root = F.lit(made.root).cast("string")
+    back = manifest.folded(F.coalesce("kept.presented", "leaf"), F.col("path"))
+    return manifest.proofs(made).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", root.alias("root"), manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        back.alias("folded_root"), (back == root).alias("verified"),
+    )
+
+
 CHECKS["op5_mix_sources"] = r"""
 WITH d AS (SELECT doc_id, text, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, ([5.0, 2.0, 1.0])[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)]::DOUBLE AS w
