@@ -6,7 +6,7 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,12 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete one of our own written tables that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def release() -> None:
     """Give unused memory back to the system: Spark's Python workers live on from task to task."""
     pa.default_memory_pool().release_unused()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, manifest, mixing, pieces, quality, secret_scan, sharding, simhash, toxicity, url_trust, vectors
+from . import centroids, chat, line_dedup, manifest, mixing, pieces, quality, secret_scan, sharding, simhash, toxicity, url_trust, vectors
 from .common import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,6 +170,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's cluster after three rounds."""
+    return centroids.described(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"), k=16, rounds=3, size=64, scale=64, seed=1)
+
+
 CHECKS["op5_mix_sources"] = r"""
 WITH d AS (SELECT doc_id, text, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, ([5.0, 2.0, 1.0])[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)]::DOUBLE AS w
@@ -191,3 +197,24 @@ r AS (SELECT vec_id AS n, vec_id AS m FROM e UNION SELECT l.b, r.m FROM r JOIN l
 k AS (SELECT n AS vec_id, min(m) AS component_id FROM r GROUP BY n)
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = k.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM k
 """
+
+
+def _centroid_sql(rounds: int = 3) -> str:
+    """The rounds one after the other: each vector against the centroids, then floored means by component."""
+    parts = ["""e AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: CAST(floor(64 * x) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             "c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS k, v AS c FROM e QUALIFY k < 16)"]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS (SELECT vec_id, any_value(v) AS v, min({{'d': d, 'k': k}}) AS best FROM (
+  SELECT vec_id, v, k, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM e, c{r}) GROUP BY vec_id)""")
+        if r < rounds:
+            parts.append(f"""m{r} AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+  SELECT a.best.k AS k, i, sum(v[i]) AS s, count(*) AS n FROM a{r} a, range(1, 65) t(i) GROUP BY 1, 2) GROUP BY k),
+c{r + 1} AS (SELECT c{r}.k, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (k))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best.k = c{rounds}.k"""
+
+
+CHECKS["op13_centroids"] = _centroid_sql()
