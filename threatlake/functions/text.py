@@ -25,18 +25,6 @@ def match_phrase(text: Column, phrase: str | Column) -> Column:
     return contains_phrase(normalise(text), normalise(phrase))
 
 
-def phrase_count(normalised: Column, phrase: Column) -> Column:
-    """Occurrences of a phrase, not counting overlaps.
-
-    Every separating space is doubled first, so that two neighbouring
-    occurrences do not have to share one.
-    """
-    wide = _spaced(F.replace(normalised, F.lit(" "), F.lit("  ")))
-    needle = _spaced(F.replace(phrase, F.lit(" "), F.lit("  ")))
-    removed = F.length(wide) - F.length(F.replace(wide, needle, F.lit("")))
-    return F.floor(removed / F.length(needle))
-
-
 def any_field(*fields: Column) -> Column:
     """All text fields as one, with a break that no phrase can cross."""
     return F.concat_ws(" ␃ ", *fields)

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import first_dates
-from ..functions.text import contains_phrase, match_phrase, normalise, phrase_count
-from ..session import cut_lineage
+from ..functions.text import contains_phrase, match_phrase, normalise
+from ..session import scratch_path
 
 DATE_PRIORITY = ["datePublished", "startDate", "observedDate", "datePosted", "dateRecorded"]
 HISTOGRAM_DATES = ["startDate", "datePublished", "observedDate"]
@@ -82,48 +82,105 @@ def monthly_histogram(docs: DataFrame, field: Column, phrases: list[str], dates:
     return spine.join(counted, ["phrase", "month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-def _runs(normalised: Column, size: int) -> Column:
-    """All runs of ``size`` tokens, overlapping, each once."""
-    word = "[^ ]+"
-    pattern = f"(?<![^ ])(?=({' '.join([word] * size)})(?![^ ]))"
-    return F.array_distinct(F.regexp_extract_all(normalised, F.lit(pattern), F.lit(1)))
+#: Places of the anchor filter, a bit each; its size does not follow the number of phrases.
+FILTER_BITS = 1 << 19
+
+
+def _run_of(tokens: Column, at: Column, size: int) -> list[Column]:
+    return [F.get(tokens, at + k) for k in range(size)]
 
 
 def _anchors(phrases: DataFrame) -> DataFrame:
-    """``(phrase, norm, size, anchor)``: the longest run of up to three tokens of each phrase.
+    """``(phrase, tokens, size, off, anchor)``: the longest run of up to three tokens of each phrase, and its first place.
 
-    Long runs are rare ones as a rule, which keeps the candidates few.
+    Long runs are rare ones as a rule, which keeps the candidates few. The table is written and read back, so that the planner
+    knows its bytes.
     """
-    norm = phrases.select("phrase", normalise(F.col("phrase")).alias("norm")).where(F.length("norm") > 0).distinct()
-    sized = norm.withColumn("size", F.least(F.size(F.split("norm", " ")), F.lit(ANCHOR_TOKENS)))
-    runs = F.coalesce(*[F.when(F.col("size") == k, _runs(F.col("norm"), k)) for k in range(1, ANCHOR_TOKENS + 1)])
-    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))["run"]
-    return sized.withColumn("anchor", longest)
+    norm = phrases.select("phrase", normalise(F.col("phrase")).alias("_norm")).where(F.length("_norm") > 0).distinct()
+    sized = norm.select("phrase", F.split("_norm", " ").alias("tokens")).withColumn("size", F.least(F.size("tokens"), F.lit(ANCHOR_TOKENS)))
+
+    def longest(size: int) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.size("tokens") - size), lambda i: F.struct(F.concat_ws(" ", *_run_of(F.col("tokens"), i, size)).alias("run"), (-i).alias("back")))
+        return F.array_max(F.transform(runs, lambda r: F.struct(F.length(r["run"]).alias("n"), r["run"].alias("run"), r["back"].alias("back"))))
+
+    best = F.coalesce(*[F.when(F.col("size") == k, longest(k)) for k in range(1, ANCHOR_TOKENS + 1)])
+    path = scratch_path(phrases.sparkSession, "anchors")
+    sized.withColumn("_best", best).select("phrase", "tokens", "size", (-F.col("_best.back")).alias("off"), F.col("_best.run").alias("anchor")).write.parquet(path)
+    return phrases.sparkSession.read.parquet(path)
+
+
+def _place(run: list[Column]) -> Column:
+    return F.pmod(F.xxhash64(*run), F.lit(FILTER_BITS))
+
+
+def _filter_words(anchors: DataFrame, size: int) -> Column:
+    """A constant of ``FILTER_BITS`` bits, 64 to a word: those that the anchors of a size fall on."""
+    place = _place(_run_of(F.split("anchor", " "), F.lit(0), size))
+    word = F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS INT)))")
+    found = anchors.where(F.col("size") == size).select(place.alias("place")).groupBy(F.floor(F.col("place") / 64).alias("word")).agg(word.alias("bits"))
+    words = [0] * (FILTER_BITS // 64)
+    for r in found.collect():  # a row for each word at most
+        words[r["word"]] = r["bits"]
+    return F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+
+
+def _candidates_of(tokens: Column, size: int, words: Column, left: int, width: int) -> Column:
+    """Of an array of tokens, the runs of a size whose bits are set, with ``width`` tokens from ``left`` before them."""
+
+    def may_be(i: Column) -> Column:
+        place = _place(_run_of(tokens, i, size))
+        return F.getbit(F.get(words, F.floor(place / 64).cast("int")), (place % 64).cast("int")) == 1
+
+    def row(i: Column) -> Column:
+        start = F.greatest(i - left, F.lit(0))
+        return F.struct(
+            F.lit(size).alias("size"), F.concat_ws(" ", *_run_of(tokens, i, size)).alias("anchor"), i.alias("place"),
+            (i - start).alias("at"), F.slice(tokens, start + 1, F.lit(width)).alias("piece"),
+        )
+
+    last = F.size(tokens) - size
+    places = F.when(last >= 0, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), may_be))
+    return F.transform(F.coalesce(places, F.array().cast("array<int>")), row)
+
+
+def candidate_runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``(uri, size, anchor, place, at, piece)``: the runs of the texts that may be anchors, as their bits say.
+
+    Only these become rows, each with the tokens around it that its phrases can need, so no text is
+    read or moved again. A run that is an anchor is never missed; what is none goes with the join by anchor.
+    """
+    spans = anchors.groupBy("size").agg(F.max("off").alias("left"), F.max(F.size("tokens") - F.col("off")).alias("right")).collect()  # three rows at most
+    given = docs.select("uri", normalise(F.col("text")).alias("_norm")).where(F.length("_norm") > 0).select("uri", F.split("_norm", " ").alias("_tokens"))
+    found = [_candidates_of(F.col("_tokens"), s["size"], _filter_words(anchors, s["size"]), s["left"], s["left"] + s["right"]) for s in spans]
+    # The outer form: for the inner one the planner computes the array twice.
+    return given.select("uri", F.explode_outer(F.concat(*found)).alias("_run")).where(F.col("_run").isNotNull()).select("uri", "_run.*")
+
+
+def occurrences(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Every place of a phrase: ``(phrase, uri, place, n_tokens)``, where ``place`` counts tokens.
+
+    ``docs`` has ``uri`` and ``text``, ``phrases`` has ``phrase``. Runs of the texts meet phrases over an anchor, never pair by
+    pair, and the whole phrase is then compared in place. Adaptive execution broadcasts a small phrase table by its
+    bytes and splits skewed anchors of a larger one.
+    """
+    anchors = _anchors(phrases)
+    if anchors.isEmpty():
+        return docs.select(F.lit("").alias("phrase"), "uri", F.lit(0).alias("place"), F.lit(0).alias("n_tokens")).where(F.lit(False))
+    met = candidate_runs(docs, anchors).join(anchors, ["size", "anchor"])
+    start, n = F.col("at") - F.col("off"), F.size("tokens")
+    whole = (start >= 0) & (F.slice("piece", F.greatest(start, F.lit(0)) + 1, n) == F.col("tokens"))
+    return met.where(whole).select("phrase", "uri", (F.col("place") - F.col("off")).alias("place"), n.alias("n_tokens"))
 
 
 def phrase_hits(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """Every document that holds a phrase: ``(phrase, uri, score)``.
 
-    ``docs`` has ``uri`` and ``text``, ``phrases`` has ``phrase``. Documents meet
-    phrases only over a shared anchor run, never pair by pair; whole phrases are
-    then checked on the candidates' text. Score is the number of occurrences.
-    Adaptive execution broadcasts small phrase and candidate tables by their
-    measured bytes and splits skewed anchors of larger ones.
+    Score is the number of occurrences, from the left, that do not overlap.
     """
-    anchors = cut_lineage(_anchors(phrases))
-    sizes = [r["size"] for r in anchors.select("size").distinct().collect()]  # three at most
-    if not sizes:
-        return docs.select(F.lit("").alias("phrase"), "uri", F.lit(0).cast("bigint").alias("score")).where(F.lit(False))
-    norm = docs.select("uri", normalise(F.col("text")).alias("text"))
-    keyed = norm.select("uri", F.explode(F.concat(*[_runs(F.col("text"), k) for k in sorted(sizes)])).alias("anchor"))
-    candidates = cut_lineage(
-        keyed.join(anchors, "anchor").select("uri", "phrase", "norm")
-    )
-    return (
-        norm.join(candidates, "uri")
-        .where(contains_phrase(F.col("text"), F.col("norm")))
-        .select("phrase", "uri", phrase_count(F.col("text"), F.col("norm")).alias("score"))
-    )
+    places = occurrences(docs, phrases).groupBy("phrase", "uri", "n_tokens").agg(F.array_sort(F.collect_set("place")).alias("_places"))
+    start = F.struct(F.lit(0).alias("free"), F.lit(0).cast("bigint").alias("n"))
+    taken = F.aggregate("_places", start, lambda acc, p: F.when(p >= acc["free"], F.struct((p + F.col("n_tokens")).alias("free"), (acc["n"] + 1).alias("n"))).otherwise(acc))
+    return places.select("phrase", "uri", taken["n"].alias("score"))
 
 
 def phrase_hits_any(docs: DataFrame, phrases: DataFrame, fields: list[str]) -> DataFrame:
