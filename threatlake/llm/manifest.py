@@ -141,7 +141,8 @@ def proofs(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     outer = _up(_stored(asked.select(one, F.col("tree").alias("idx"), F.lit(tall).alias("height")).distinct(), "wanted"), tall)
     start = manifest.records.sparkSession.range(1 if manifest.root else 0)
     empty = F.array().cast("array<struct<before:string,after:string>>")
-    frontier = start.select(one, F.lit(0).cast("bigint").alias("idx"), F.lit(manifest.root).cast("string").alias("digest"), F.lit(tall).alias("height"), empty.alias("path"))
+    # Stored, so that the root is a row to join and no constant.
+    frontier = _stored(start.select(one, F.lit(0).cast("bigint").alias("idx"), F.lit(manifest.root).cast("string").alias("digest"), F.lit(tall).alias("height"), empty.alias("path")), "frontier")
     for k in range(tall):
         frontier = _stored(_step(frontier, records, outer[tall - 1 - k]), "frontier")
     subroots = manifest.groups.select(F.col("tree").alias("_tree"), "width")
