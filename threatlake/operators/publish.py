@@ -27,11 +27,12 @@ def save_frames(docs: DataFrame, folder: str) -> None:
 
 
 def publish(spark: SparkSession, frames: str, folder: str, types: list[str] | None = None) -> None:
-    """Publish saved frames as JSON lines, in batches of the size the type calls for.
+    """Publish saved frames as JSON lines, in batches of the size the type calls for."""
+    publish_rows(spark.read.parquet(frames), folder, types)
 
-    Reads one type's folder at a time, since the batch size is set per write.
-    """
-    saved = spark.read.parquet(frames)
+
+def publish_rows(saved: DataFrame, folder: str, types: list[str] | None = None) -> None:
+    """Stored documents as JSON lines; a type is read at a time, since the batch size is set per write."""
     names = types or [r["doc_type"] for r in saved.select("doc_type").distinct().collect()]
     for name in names:
         docs = unique_documents(saved.where(F.col("doc_type") == name)).select("uri", "part", "doc")
@@ -39,8 +40,9 @@ def publish(spark: SparkSession, frames: str, folder: str, types: list[str] | No
 
 
 def snapshot_rows(docs: DataFrame, snapshot: dt.date, alias: str | None) -> DataFrame:
-    """Catalog rows for one published snapshot."""
-    return docs.groupBy("doc_type").agg(F.count("*").alias("rows"), F.sum(F.octet_length("doc")).alias("bytes")).select(
+    """Catalog rows for one published snapshot; sizes that are stored beside the documents are used."""
+    size = F.col("bytes") if "bytes" in docs.columns else F.octet_length("doc")
+    return docs.groupBy("doc_type").agg(F.count("*").alias("rows"), F.sum(size).alias("bytes")).select(
         F.lit(snapshot).alias("snapshot"), "doc_type", "rows", "bytes", F.lit(alias).cast("string").alias("alias")
     )
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,8 +61,35 @@ def read_increments(spark: SparkSession, root: str, fmt: str = "parquet") -> Dat
     return spark.read.option("basePath", root).format(fmt).load(increments(spark, root))
 
 
-def bucket_of(uri: Column, buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(uri), F.lit(buckets)).cast("int")
+def statement_id() -> Column:
+    """The content address of a statement: equal ones have one id, whoever sends them."""
+    coded = [F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string"))) for c in STATEMENT_COLUMNS]
+    return F.unhex(F.sha2(F.concat(*coded).cast("binary"), 256))
+
+
+def _layout(spark: SparkSession, root: str, buckets: int) -> int:
+    """The store's number of buckets: what it was made with, else ``buckets``."""
+    held = pointed(spark, f"{root}/_buckets")
+    if held is None:
+        point_to(spark, f"{root}/_buckets", str(buckets))
+    return int(held or buckets)
+
+
+def _columns() -> str:
+    return ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in STATEMENT.fields), "sid binary"])
+
+
+def store(spark: SparkSession, root: str, folders: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Finished increments as a catalog table bucketed by statement id, so that a join by id does not shuffle them.
+
+    The table is made over the files where the session does not have it yet; an increment is a partition of it.
+    """
+    name = f"statements_{hashlib.md5(root.encode()).hexdigest()}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_columns()}, increment string) USING parquet PARTITIONED BY (increment) CLUSTERED BY (sid) INTO {_layout(spark, root, buckets)} BUCKETS LOCATION '{root}'")
+    marks = [f.rsplit("increment=", 1)[1] for f in folders]
+    if marks:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION (increment = '{m}')" for m in marks))
+    return spark.table(name).where(F.col("increment").isin(*marks))
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
@@ -70,7 +97,18 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
     folders = increments(spark, root)
     if not folders:
         return spark.createDataFrame([], STATEMENT)
-    return spark.read.option("basePath", root).parquet(*folders).select(*STATEMENT_COLUMNS)
+    return spark.read.schema(STATEMENT).parquet(*folders)
+
+
+def unknown(held: DataFrame, fresh: DataFrame, buckets: int) -> DataFrame:
+    """Rows of ``fresh`` (stored, with ``sid``) that the store does not hold.
+
+    Bucket meets bucket: only ``fresh`` is shuffled. What is known of it is found by streaming the store past it, so a
+    small increment is broadcast to the store's scan, and the store is not sorted for it.
+    """
+    dealt = fresh.repartition(buckets, "sid")
+    known = held.select("sid").join(dealt.select("sid"), "sid", "left_semi")
+    return dealt.join(known, "sid", "left_anti").select(*fresh.columns)
 
 
 def upsert(spark: SparkSession, root: str, increment: str, delta: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -78,24 +116,20 @@ def upsert(spark: SparkSession, root: str, increment: str, delta: DataFrame, buc
 
     Merging is a set union, so an upsert only adds the statements the store does
     not hold yet, as one more increment; nothing already written is rewritten. A
-    repeated increment is a no-op. The store is pruned to the buckets the delta
-    touches, and the comparison joins on whole statements, so a hot entity does
-    not become a hot key.
+    repeated increment is a no-op. Statements meet by their id, so a hot entity is no
+    hot key, and repeats of one statement collapse before the shuffle.
     """
     folder = increment_folder(root, increment)
     if not stage_done(spark, folder):
-        fresh = delta.select(*STATEMENT_COLUMNS).distinct().withColumn("bucket", bucket_of(F.col("uri"), buckets))
+        buckets = _layout(spark, root, buckets)
+        fresh = delta.select(*STATEMENT_COLUMNS).withColumn("sid", statement_id()).dropDuplicates(["sid"])
         held_in = increments(spark, root)
         if held_in:
-            fresh = cut_lineage(fresh)
-            touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets``
-            held = spark.read.option("basePath", root).parquet(*held_in).where(F.col("bucket").isin(*touched))
-            same = reduce(Column.__and__, [fresh[c].eqNullSafe(held[c]) for c in [*STATEMENT_COLUMNS, "bucket"]])
-            fresh = fresh.join(held, same, "left_anti")
-        # Rebalanced by bucket: a bucket with most of the rows is still written by many tasks.
-        fresh.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "bucket"
-        ).parquet(folder)
+            fresh = unknown(store(spark, root, held_in, buckets), cut_lineage(fresh), buckets)
+        name = f"increment_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE TABLE {name} ({_columns()}) USING parquet CLUSTERED BY (sid) INTO {buckets} BUCKETS LOCATION '{folder}'")
+        fresh.write.insertInto(name, overwrite=True)
+        spark.sql(f"DROP TABLE {name}")  # its files stay
     return spark.read.schema(STATEMENT).parquet(folder)
 
 
@@ -116,13 +150,16 @@ def _versions(spark: SparkSession, pointer: str) -> list[int]:
     return sorted(int(n) for n in names if n.isdigit())
 
 
-def point_to(spark: SparkSession, pointer: str, version: str) -> None:
+def point_to(spark: SparkSession, pointer: str, version: str, after: int | None = None) -> None:
     """Name the current version of a table in a new numbered file of the pointer's folder.
 
     The file gets its number by a rename once it is whole, so a reader finds the version
-    before or this one at any time. A number that another writer took is an error.
+    before or this one at any time. A number that another writer took is an error; so is, with ``after``, a
+    pointer that is not at that number any more.
     """
     number = (_versions(spark, pointer) or [0])[-1] + 1
+    if after is not None and number != after + 1:
+        raise RuntimeError(f"{pointer} was moved by another run")
     draft, fs = _path(spark, f"{pointer}/_draft-{uuid.uuid4().hex}")
     out = fs.create(draft, False)
     out.write(bytearray(version.encode()))
@@ -132,19 +169,22 @@ def point_to(spark: SparkSession, pointer: str, version: str) -> None:
         raise RuntimeError(f"{pointer} was moved by another run")
 
 
-def pointed(spark: SparkSession, pointer: str) -> str | None:
-    """The current version; None where the pointer was never set."""
+def pointed_at(spark: SparkSession, pointer: str) -> tuple[int, str | None]:
+    """The pointer's number and the version it names; 0 and None where it was never set."""
     numbers = _versions(spark, pointer)
-    return spark.read.text(f"{pointer}/{numbers[-1]:012d}").head()["value"] if numbers else None
-
+    if not numbers:
+        return 0, None
+    target, fs = _path(spark, f"{pointer}/{numbers[-1]:012d}")
+    stream = fs.open(target)
+    try:
+        return numbers[-1], bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
-def later_increment(folder: str, other: str) -> bool:
-    """Whether an increment's folder comes after another's: the initial one first, then by mark."""
-    def order(path: str) -> tuple:
-        mark = path.rsplit("increment=", 1)[1]
-        return (0,) if mark == INITIAL else (1, int(mark)) if mark.lstrip("-").isdigit() else (2, mark)
 
-    return order(folder) > order(other)
+def pointed(spark: SparkSession, pointer: str) -> str | None:
+    """The current version; None where the pointer was never set."""
+    return pointed_at(spark, pointer)[1]
 
 
 def changed_documents(new: DataFrame, old: DataFrame, key: list[str] | None = None) -> DataFrame:

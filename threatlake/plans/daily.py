@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit
+from ..operators import audit, doclog
 from ..operators.extract import CVE, MSID, ExtractorSpec, extract
 from ..operators.frames import FrameSpec, affected, frame
 from ..operators.mapping import MappingSpec, route, statements
-from ..operators.publish import alias_of, expired_aliases, publish, save_frames, snapshot_rows, unique_documents
-from ..operators.state import BUCKETS, changed_documents, increment_folder, later_increment, point_to, pointed, read_state, stage, stage_done, upsert
+from ..operators.publish import alias_of, expired_aliases, publish_rows, save_frames, snapshot_rows, unique_documents
+from ..operators.state import BUCKETS, increment_folder, increments, point_to, pointed, pointed_at, read_state, stage, stage_done, upsert
+from ..schema import STATEMENT
 from ..session import cut_lineage
-from ..sources.cdr import since, with_json
+from ..sources.cdr import INITIAL, since, with_json
 
-DOCUMENT = ["doc_type", "uri"]
 CATALOG = "snapshot date, doc_type string, rows bigint, bytes bigint, alias string"
 
 
@@ -35,69 +36,68 @@ def refresh(
 ) -> DataFrame:
     """Extract, map, merge and frame the records after ``mark``; return the changed documents.
 
-    Without a mark all records are taken. An increment that is not after the current one
-    returns the delta that it had and changes nothing. Every stage is saved under its increment
-    and skipped when an earlier run finished it. Statements merge into the store,
-    so increments give the same documents as one full run. After the first run only
-    the documents that new statements can reach are framed again; the others are
-    carried over. The delta holds the documents that came out different.
+    Without a mark all records are taken. Every stage is saved under its increment and skipped when an earlier run
+    finished it. Statements merge into the store, so increments give the same documents as one full run. After the
+    first run only the documents that new statements can reach are framed again, and only those that
+    came out different are written, as a commit of the document log (``doclog``).
+
+    An increment that the log covers returns the delta that it had and changes nothing. Increments that reached the
+    store while their run stopped before the commit are covered by the next one.
     """
+    log, name = f"{out}/documents", str(mark) or INITIAL
+    done = doclog.committed(spark, log, name)
+    if done is not None:
+        return done
     picked = since(cdr, mark)
     extracted = stage(
         spark,
         increment_folder(f"{out}/extractions", mark),
         lambda: extract(with_json(picked), *extractors).drop("json_rep"),
     )
-    fresh = upsert(spark, f"{out}/state", str(mark), statements(route(with_json(extracted), routes), models), buckets)
-
-    version, pointer = increment_folder(f"{out}/documents", mark), f"{out}/documents/current"
-    before = pointed(spark, pointer)
-    if before is not None and not later_increment(version, before):
-        # Run before, and maybe followed by others: its delta stands, and the pointer stays.
-        return spark.read.parquet(increment_folder(f"{out}/delta", mark))
+    upsert(spark, f"{out}/state", str(mark), statements(route(with_json(extracted), routes), models), buckets)
+    _, top = doclog.head(spark, log)
+    pending = [f for f in increments(spark, f"{out}/state") if f.rsplit("increment=", 1)[1] not in top["covered"]]
     merged = read_state(spark, f"{out}/state")
-    old = None if before is None else spark.read.parquet(before)
-    uris = cut_lineage(fresh.select("uri").distinct())
-
-    def framed() -> DataFrame:
-        docs = []
-        for name, spec in frames.items():
-            only = None if old is None else affected(merged, spec, uris)
-            docs.append(frame(merged, name, spec, only=only))
-        return unique_documents(reduce(DataFrame.unionByName, docs))
 
-    again = stage(spark, increment_folder(f"{out}/framed", mark), framed)
-    delta = stage(spark, increment_folder(f"{out}/delta", mark), lambda: again if old is None else changed_documents(again, old))
-    save_frames(delta, increment_folder(f"{out}/frames", mark))
+    def framed(uris: DataFrame | None) -> DataFrame:
+        docs = [frame(merged, n, spec, only=None if uris is None else affected(merged, spec, uris)) for n, spec in frames.items()]
+        return unique_documents(reduce(DataFrame.unionByName, docs))
 
-    def whole() -> DataFrame:
-        if old is None:
-            return again
-        # All old parts of a document go, since it may come in other parts now.
-        replaced = again.select(*DOCUMENT).distinct()
-        return again.unionByName(old.join(replaced, DOCUMENT, "left_anti").select(*again.columns))
+    def changed() -> DataFrame:
+        if not top["folders"]:
+            return doclog.delta(spark, log, framed(None), buckets=buckets)
+        uris = cut_lineage(spark.read.schema(STATEMENT).parquet(*pending).select("uri").distinct())
+        return doclog.delta(spark, log, cut_lineage(framed(uris)), buckets=buckets)
 
-    stage(spark, version, whole)
-    point_to(spark, pointer, version)
-    return delta
+    doclog.commit(spark, log, name, changed, [f.rsplit("increment=", 1)[1] for f in pending])
+    return doclog.committed(spark, log, name)
 
 
 def publish_day(spark: SparkSession, out: str, day: dt.date) -> DataFrame:
-    """Publish the current documents as that day's version; return the catalog.
+    """Publish what changed since the last published version as that day's version; return the catalog.
 
-    A version is a folder of its own and complete before the ``latest`` pointer names it. The
-    catalog gets a row for each type with the day's alias; aliases of ``KEEP_DAYS`` days or more are
-    taken away, and their snapshots are named by none. A day that is published already stays as it is.
+    First an intent names the commits that the day takes, so a run that goes on after a stop publishes the same ones. Then come
+    changed documents as JSON by type, the keys of removed ones, the catalog's row for each type with its totals and the
+    day's alias, and the ``latest`` pointer, which only moves to a later day. Every step is skipped when it is done.
+    Aliases of ``KEEP_DAYS`` days or more are taken away, and their snapshots are named by none.
     """
-    version = f"{out}/published/{day:%Y-%m-%d}"
+    version, log, latest = f"{out}/published/{day:%Y-%m-%d}", f"{out}/documents", f"{out}/published/latest"
+    if pointed(spark, f"{version}/_intent") is None:
+        last = pointed(spark, latest)
+        before = json.loads(pointed(spark, f"{last}/_intent"))["upto"] if last else 0
+        point_to(spark, f"{version}/_intent", json.dumps({"after": before, "upto": doclog.head(spark, log)[1]["seq"]}), 0)
+    intent = json.loads(pointed(spark, f"{version}/_intent"))
     folder = f"{out}/catalog"
     entry = f"{folder}/day={day:%Y-%m-%d}"
     if not stage_done(spark, entry):
-        docs = spark.read.parquet(pointed(spark, f"{out}/documents/current"))
-        save_frames(docs, f"{version}/frames")
-        publish(spark, f"{version}/frames", f"{version}/json")
-        snapshot_rows(docs, day, alias_of(day)).write.mode("overwrite").parquet(entry)
-        point_to(spark, f"{out}/published/latest", version)
+        news = doclog.changes(spark, log, intent["after"], intent["upto"])
+        save_frames(news.where(~F.col("removed")).select(*doclog.KEY, "doc"), f"{version}/frames")
+        publish_rows(spark.read.schema(doclog.DOCUMENT).parquet(f"{version}/frames"), f"{version}/json")
+        news.where("removed").select(*doclog.KEY).write.mode("overwrite").json(f"{version}/removed")
+        snapshot_rows(doclog.documents(spark, log, intent["upto"]), day, alias_of(day)).write.mode("overwrite").parquet(entry)
+    number, last = pointed_at(spark, latest)
+    if last is None or last.rsplit("/", 1)[1] < f"{day:%Y-%m-%d}":
+        point_to(spark, latest, version, number)
     catalog = spark.read.schema(CATALOG).parquet(folder)
     newest = catalog.agg(F.max("snapshot")).head()[0]
     old = expired_aliases(catalog, newest).select("alias")
@@ -106,6 +106,12 @@ def publish_day(spark: SparkSession, out: str, day: dt.date) -> DataFrame:
     return catalog.join(gone, "alias", "left").select("snapshot", "doc_type", "rows", "bytes", named.alias("alias"))
 
 
+def published(spark: SparkSession, out: str, day: dt.date | None = None) -> DataFrame:
+    """All documents of a published version, the latest by default."""
+    version = f"{out}/published/{day:%Y-%m-%d}" if day else pointed(spark, f"{out}/published/latest")
+    return doclog.documents(spark, f"{out}/documents", json.loads(pointed(spark, f"{version}/_intent"))["upto"]).select(*doclog.KEY, "doc")
+
+
 def audit_day(spark: SparkSession, cdr: DataFrame, out: str, policy: DataFrame, as_of: dt.date) -> DataFrame:
     """Recount two days, write the day's report, return the alerts."""
     audit.write_counts(audit.recent_counts(cdr, as_of), f"{out}/counts")

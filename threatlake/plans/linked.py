@@ -7,11 +7,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import frames, merge, profile, publish, state
+from ..operators import doclog, frames, merge, profile, publish, state
 from ..schema import STATEMENT_COLUMNS
 from ..session import cut_lineage, scratch_path
 from . import views as v
-from .daily import publish_day, refresh
+from .daily import publish_day, published, refresh
 from .registry import query
 
 ORDER_FRAME = frames.FrameSpec.from_dict(
@@ -187,11 +187,15 @@ def refresh_increment(spark, sf):
 
 
 @query("publish_run", "cdr", f"""
-WITH n AS (SELECT count(DISTINCT raw_content::JSON ->> 'user') FILTER ("timestamp" <= {LAST_DAY}) AS before, count(DISTINCT raw_content::JSON ->> 'user') AS after FROM cdr)
+WITH items AS (SELECT 'user/' || (raw_content::JSON ->> 'user') AS uri, 'kind' || (raw_content::JSON ->> 'kind') AS item, "timestamp" FROM cdr
+    UNION ALL SELECT 'user/' || (raw_content::JSON ->> 'user'), 'system' || (raw_content::JSON ->> 'targetSystem'), "timestamp" FROM cdr WHERE team <> 'isi'),
+firsts AS (SELECT uri, item, min("timestamp") AS seen FROM items WHERE item IS NOT NULL GROUP BY 1, 2),
+users AS (SELECT uri, min(seen) AS first, max(seen) AS last FROM firsts GROUP BY 1),
+n AS (SELECT count(*) FILTER (first <= {LAST_DAY}) AS before, count(*) AS after, count(*) FILTER (last > {LAST_DAY}) AS changed FROM users)
 SELECT * FROM (SELECT 'user' AS doc_type, '2024-01-22' AS snapshot, before AS rows, '-' AS alias, before AS published FROM n
-    UNION ALL SELECT 'user', '2024-01-30', after, 'data-2024-01-30', after FROM n)""")
+    UNION ALL SELECT 'user', '2024-01-30', after, 'data-2024-01-30', changed FROM n)""")
 def publish_run(spark, sf):
-    """Landed records to published snapshots twice: the older alias has gone, both versions stand, the pointer is at the newer."""
+    """Landed records to published snapshots twice: the second writes what changed, the older alias has gone, the totals are those of all documents."""
     records, routes, models = v.activity(spark, sf)
     out, spec = scratch_path(spark, "publish-run"), {"user": v.ACTIVITY_FRAME}
     refresh(spark, records.where(F.col("timestamp") <= LAST_DAY), out, routes, models, spec, buckets=8)
@@ -200,12 +204,59 @@ def publish_run(spark, sf):
     catalog = publish_day(spark, out, dt.date(2024, 1, 30))
     if not state.pointed(spark, f"{out}/published/latest").endswith("2024-01-30"):
         raise RuntimeError("the pointer did not move")
+    return _published_rows(spark, out, catalog, (22, 30))
+
+
+def _published_rows(spark, out, catalog, days):
+    """The catalog with the number of documents that each version wrote."""
     day = F.date_format("snapshot", "yyyy-MM-dd")
-    written = spark.read.json([f"{out}/published/2024-01-{d}/json/user" for d in (22, 30)])
+    written = spark.read.schema("uri string").json([f"{out}/published/2024-01-{d}/json/user" for d in days])
     published = written.groupBy(F.regexp_extract(F.col("_metadata.file_path"), r"published/([0-9-]+)/", 1).alias("snapshot")).agg(F.count("*").alias("published"))
     return catalog.select("doc_type", day.alias("snapshot"), "rows", F.coalesce("alias", F.lit("-")).alias("alias")).join(published, "snapshot")
 
 
+@query("publish_rerun", "cdr", f"""
+WITH u AS (SELECT raw_content::JSON ->> 'user' AS uri, min("timestamp") AS first FROM cdr GROUP BY 1),
+n AS (SELECT count(*) FILTER (first <= {LAST_DAY}) AS before, count(*) AS after FROM u)
+SELECT '2024-01-30' AS latest, before AS latest_documents, after AS documents, before AS published FROM n""")
+def publish_rerun(spark, sf):
+    """A day stopped before its pointer moved, run again after new records: it publishes what it meant to; an older day then leaves the pointer."""
+    records, routes, models = v.activity(spark, sf)
+    out, spec = scratch_path(spark, "publish-rerun"), {"user": v.ACTIVITY_FRAME}
+    refresh(spark, records.where(F.col("timestamp") <= LAST_DAY), out, routes, models, spec, buckets=8)
+    state.point_to(spark, f"{out}/published/2024-01-30/_intent", '{"after": 0, "upto": 1}', 0)  # the run stopped here
+    refresh(spark, records, out, routes, models, spec, mark=LAST_DAY, buckets=8)
+    publish_day(spark, out, dt.date(2024, 1, 30))
+    publish_day(spark, out, dt.date(2024, 1, 22))
+    latest = state.pointed(spark, f"{out}/published/latest").rsplit("/", 1)[1]
+    counts = [published(spark, out).agg(F.count("*").alias("latest_documents")), doclog.documents(spark, f"{out}/documents").agg(F.count("*").alias("documents")),
+              spark.read.schema("uri string").json(f"{out}/published/2024-01-30/json/user").agg(F.count("*").alias("published"))]
+    one = [c.withColumn("latest", F.lit(latest)) for c in counts]
+    return one[0].join(one[1], "latest").join(one[2], "latest")
+
+
+@query("document_log", "cdr", f"""
+WITH u AS (SELECT raw_content::JSON ->> 'user' AS k, "timestamp" AS t FROM cdr), f AS (SELECT k, min(t) AS first FROM u GROUP BY 1)
+SELECT 'user/' || k AS uri, CASE WHEN first > {LAST_DAY} THEN 3 WHEN first > {LAST_DAY} - 864000 THEN 2 ELSE 1 END AS version FROM f WHERE k NOT LIKE '%7'""")
+def document_log(spark, sf):
+    """Three commits of documents by the users' first days, then tombstones and compaction: each document with the commit it comes from."""
+    records, _, _ = v.activity(spark, sf)
+    user = F.try_variant_get(F.try_parse_json("raw_content"), "$.user", "string")
+    firsts = cut_lineage(records.groupBy(user.alias("k")).agg(F.min("timestamp").alias("first")))
+    root = scratch_path(spark, "log")
+
+    def docs(upto: int):
+        some = firsts.where(F.col("first") <= upto)
+        return some.select(F.lit("user").alias("doc_type"), F.concat(F.lit("user/"), "k").alias("uri"), F.lit(0).cast("bigint").alias("part"), F.concat(F.lit("first "), F.col("first").cast("string")).alias("doc"))
+
+    for k, upto in enumerate((LAST_DAY - 864000, LAST_DAY, 1 << 40)):
+        doclog.commit(spark, root, f"c{k}", lambda: doclog.delta(spark, root, cut_lineage(docs(upto)), buckets=8), [])
+    gone = cut_lineage(docs(1 << 40).where(F.col("uri").endswith("7")))
+    doclog.commit(spark, root, "gone", lambda: doclog.delta(spark, root, gone.limit(0), gone.select("doc_type", "uri"), buckets=8), [])
+    doclog.compact(spark, root)
+    return doclog.documents(spark, root).select("uri", F.col("seq").cast("int").alias("version"))
+
+
 @query("rekey_documents", "", """
 SELECT sha256('customer/' || c_custkey) AS doc_id, '{"Customer_Party":{"name":"' || c_name || '","uri":"customer/' || c_custkey || '"}}' AS doc FROM customer""")
 def rekey_documents(spark, sf):
