@@ -166,6 +166,7 @@ def test_tweet_files_plain_and_packed(spark, tmp_path):
     pack("2024-01-04.tar.gz", tweet(2) + "\n" + tweet(3), tweet(8))  # only the first member counts
     (tmp_path / "2024-01-05.tar.gz").write_bytes(b"broken")
     got = tweets.parse_tweets(tweets.read_tweet_files(spark, str(tmp_path)))
+    assert [tuple(r) for r in tweets.tweet_quarantine(tweets.read_tweet_files(spark, str(tmp_path))).collect()] == [("2024-01-03", "not json")]
     assert {(r["file"], r["id_str"]) for r in got.collect()} == {("2024-01-03", "1"), ("2024-01-04", "2"), ("2024-01-04", "3")}
 
 

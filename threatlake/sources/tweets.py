@@ -71,7 +71,7 @@ def archive_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parse_tweets(lines: DataFrame) -> DataFrame:
-    """Tweets as typed columns; lines that are not JSON are dropped."""
+    """Tweets as typed columns; lines that are not JSON are in ``tweet_quarantine``."""
     schema = (
         "id_str string, created_at string, text string, retweet_count bigint, favorite_count bigint,"
         " in_reply_to_status_id_str string, user struct<screen_name string>,"
@@ -79,3 +79,8 @@ def parse_tweets(lines: DataFrame) -> DataFrame:
     )
     good = lines.where(F.try_parse_json("line").isNotNull())
     return good.select("file", F.from_json("line", schema).alias("t")).select("file", "t.*")
+
+
+def tweet_quarantine(lines: DataFrame) -> DataFrame:
+    """Lines that are no JSON, as they came: with ``parse_tweets`` these are all lines but the empty ones."""
+    return lines.where(F.try_parse_json("line").isNull() & (F.length(F.trim("line")) > 0)).select("file", "line")
