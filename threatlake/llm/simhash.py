@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import free_name
 from .graph import connected_components
 
 BITS = 64
@@ -181,10 +182,14 @@ def components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, block: int
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component, the one with the smallest id; of rows with one id, one stays.
+    """One document of each component: the one with the smallest id, and of several with it the one of the smallest row hash.
 
-    A row without an id is kept: nothing can name it.
+    Rows are told apart by id and a hash of all their columns, so a text whose id also names another is not lost with it, and
+    equal rows are one. A row without an id is kept: nothing can name it.
     """
-    firsts = components(docs, **options).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    mark = free_name(docs, "_mark")
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn(mark, F.xxhash64(*docs.columns))
+    found = components(named.select(F.struct("doc_id", F.col(mark).alias("mark")).alias("doc_id"), "text"), **options)
+    firsts = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id.doc_id", F.col("doc_id.mark").alias(mark))
+    kept = named.join(firsts, ["doc_id", mark], "left_semi").dropDuplicates(["doc_id", mark]).select(docs.columns)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))

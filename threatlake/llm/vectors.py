@@ -11,9 +11,10 @@ blocks meet in a tile unless the angle between their pivots, less both cells' wi
 angles, is over the threshold's angle. A tile writes each vector's count of links and
 the edges of a spanning forest, never the pairs.
 
-Defined cases: vectors that are null, zero, or hold null or non-finite components, and those of another
-length than the table's commonest (ties: the longest) link with nothing; equal rows are linked with each
-other; an empty table gives an empty result.
+Each length has pivots, cells and tiles of its own, so vectors of different lengths never meet.
+
+Defined cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; those of
+different lengths are not compared; equal rows are linked with each other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -34,16 +35,22 @@ from .graph import connected_components, hook
 _SLACK = 1e-9
 
 
-def usable(column: str, dim: int):
+def usable(column: str):
     """Whether a vector can be linked at all."""
     sound = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return F.coalesce((F.size(column) == dim) & sound & F.exists(column, lambda x: x != 0), F.lit(False))
+    return F.coalesce(sound & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
-def commonest_size(df: DataFrame, column: str) -> int:
-    sizes = df.where(F.size(column) > 0).groupBy(F.size(column).alias("d")).agg(F.count("*").alias("n"))
-    top = sizes.orderBy(F.desc("n"), F.desc("d")).first()
-    return top["d"] if top else 0
+def pivots_of(classes: DataFrame, block: int, max_cells: int) -> dict[int, np.ndarray]:
+    """Each length's pivots, ``max_cells`` at most: as many as it has blocks, the first by hash."""
+    sizes = classes.groupBy("dim").agg(F.least(F.lit(max_cells), F.ceil(F.count("*") / block)).alias("_cells"))
+    by_hash = Window.partitionBy("dim").orderBy("key")
+    # The constant bound is kept in each task before rows are shuffled; a length with most vectors is no large window.
+    first = classes.select("dim", "key", "vector", F.row_number().over(by_hash).alias("_at")).where(F.col("_at") <= max_cells)
+    held: dict[int, list[bytes]] = {}
+    for r in first.join(sizes, "dim").where(F.col("_at") <= F.col("_cells")).orderBy("dim", "_at").select("dim", "vector").collect():
+        held.setdefault(r["dim"], []).append(r["vector"])
+    return {d: unit_rows(np.array([np.frombuffer(v, "<f8") for v in own])) for d, own in held.items()}
 
 
 def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,11 +88,11 @@ def tile_links(a: np.ndarray, b: np.ndarray, threshold: float, same: bool, strip
                 yield x[near], y[near]
 
 
-def _tile(group: pd.DataFrame, dim: int, threshold: float) -> pd.DataFrame:
+def _tile(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Both blocks of one tile to each vector's links and its root in the tile."""
     group = group.sort_values("side")
-    units = [unit_rows(np.frombuffer(v, "<f8").reshape(-1, dim)) for v in group["vectors"]]
     keys = [np.frombuffer(k, "S16") for k in group["keys"]]
+    units = [unit_rows(np.frombuffer(v, "<f8").reshape(len(k), -1)) for k, v in zip(keys, group["vectors"])]
     times = [np.frombuffer(t, "<i8") for t in group["times"]]
     same = len(units) == 1
     first, every = len(units[0]), sum(map(len, units))
@@ -102,7 +109,6 @@ def _tile(group: pd.DataFrame, dim: int, threshold: float) -> pd.DataFrame:
 def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector: str = "embedding", block: int = 4096, max_cells: int = 1024) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``df``."""
     given = df.select(F.col(id_col).alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
-    dim = commonest_size(given, "v")
     kind = given.schema["vec_id"].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,31 +117,33 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
             keys = [None if r is None else hashlib.blake2b(r, digest_size=16).digest() for r in raw]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(raw, pa.binary())], names=["vec_id", "key", "vector"])
 
-    checked = given.select("vec_id", F.when(usable("v", dim), F.col("v")).alias("v"))
+    checked = given.select("vec_id", F.when(usable("v"), F.col("v")).alias("v"))
     rows = cut_lineage(checked.mapInArrow(digest, f"vec_id {kind}, key binary, vector binary"))
-    classes = cut_lineage(rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("times"), F.first("vector").alias("vector")))
-    n = classes.count()
-    pivots = [r["vector"] for r in classes.orderBy("key").limit(min(max_cells, max(1, math.ceil(n / block)))).select("vector").collect()]
-    centres = unit_rows(np.array([np.frombuffer(p, "<f8") for p in pivots])) if pivots else np.zeros((0, max(dim, 1)))
+    classes = cut_lineage(rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("times"), F.first("vector").alias("vector")).withColumn("dim", (F.octet_length("vector") / 8).cast("int")))
+    centres = pivots_of(classes, block, max_cells)
+    firsts = dict(zip(centres, np.cumsum([0, *map(len, centres.values())]).tolist()))  # each length's first cell
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            unit = unit_rows(np.array([np.frombuffer(v, "<f8") for v in batch.column(2).to_pylist()]))
-            near = unit @ centres.T
-            cell = near.argmax(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(near[np.arange(len(cell)), cell])], names=["key", "times", "vector", "cell", "near"]
-            )
-
-    dealt = cut_lineage(classes.select("key", "times", "vector").mapInArrow(deal, "key binary, times bigint, vector binary, cell int, near double"))
-    stats = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.min("near").alias("near")).collect()  # max_cells rows at most
+            dims = batch.column(3).to_numpy(zero_copy_only=False)
+            for d in np.unique(dims).tolist():
+                own = batch.filter(pa.array(dims == d))
+                near = unit_rows(np.array([np.frombuffer(v, "<f8") for v in own.column(2).to_pylist()])) @ centres[d].T
+                cell = near.argmax(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns[:3], pa.array((cell + firsts[d]).astype(np.int32)), pa.array(near[np.arange(len(cell)), cell])], names=["key", "times", "vector", "cell", "near"]
+                )
+
+    dealt = cut_lineage(classes.select("key", "times", "vector", "dim").mapInArrow(deal, "key binary, times bigint, vector binary, cell int, near double"))
+    stats = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.min("near").alias("near")).collect()  # max_cells rows for each length at most
     reach = {r["cell"]: math.acos(max(-1.0, min(1.0, r["near"]))) for r in stats}
     blocks = {r["cell"]: math.ceil(r["n"] / block) for r in stats}
-    angles = np.arccos(np.clip(centres @ centres.T, -1, 1))
     wide = math.acos(threshold) + 1e-6
-    meet = [(i, j, blocks[i], blocks[j]) for i in blocks for j in blocks if i <= j and angles[i, j] <= reach[i] + reach[j] + wide]
+    meet = []
+    for d, own in centres.items():
+        angles = np.arccos(np.clip(own @ own.T, -1, 1))
+        cells = [firsts[d] + k for k in range(len(own)) if firsts[d] + k in blocks]
+        meet += [(i, j, blocks[i], blocks[j]) for i in cells for j in cells if i <= j and angles[i - firsts[d], j - firsts[d]] <= reach[i] + reach[j] + wide]
 
     spark = df.sparkSession
     sizes = F.broadcast(spark.createDataFrame(list(blocks.items()), "cell int, _blocks int"))
@@ -156,7 +164,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
     one = pairs.select(F.col("i").alias("cell"), F.col("pi").alias("part"), tile, F.lit(0).alias("side"))
     two = pairs.where("i < j or pi < pj").select(F.col("j").alias("cell"), F.col("pj").alias("part"), tile, F.lit(1).alias("side"))
     sides = one.unionByName(two).join(packed, ["cell", "part"]).select("tile", "side", "keys", "times", "vectors")
-    found = cut_lineage(sides.groupBy("tile").applyInPandas(lambda g: _tile(g, dim, threshold), "key binary, links bigint, root binary"))
+    found = cut_lineage(sides.groupBy("tile").applyInPandas(lambda g: _tile(g, threshold), "key binary, links bigint, root binary"))
 
     edges = found.where(F.col("key") != F.col("root")).select(F.col("key").alias("a"), F.col("root").alias("b"))
     joined = connected_components(edges).withColumnRenamed("node", "key")
