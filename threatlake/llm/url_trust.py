@@ -5,7 +5,7 @@ a URL decides. Pages without a rule get their host's verdict. Hosts are seeds by
 count of their allowed and of their blocked pages, so both scores are on one scale. Trust follows the edges from trusted
 seeds (personalised PageRank), distrust runs against them from blocked seeds: a host that
 links to a distrusted one is distrusted. A host is blocked where distrust holds
-more than ``threshold`` of its score.
+more than ``threshold`` of its score. Scores are passed on until they converge; a chain of links may have any length.
 
 Edges are links to other hosts, counted, and one each way between a host and its parent domain.
 
@@ -19,16 +19,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .common import LOWER, UPPER, free_name
+from ..session import cut_lineage, scratch_path
+from .common import LOWER, UPPER, drop_path, free_name
 
 ALLOW, BLOCK = "allow", "block"
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 #: Copies of a host's score in the join with its edges, so that a host with most edges is no single key.
 SALTS = 8
+#: Hosts, about, that one task passes scores on among.
+BLOCK_HOSTS = 1 << 14
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -113,6 +117,99 @@ def growth(score: DataFrame, before: DataFrame) -> float:
     return score.join(old, ["kind", "host"], "left").agg(F.max(part).alias("part")).head()["part"] or 0.0
 
 
+def domain(host: Column) -> Column:
+    """The last two labels of a host: the edges between a host and its parents stay within."""
+    return F.substring_index(host, ".", -2)
+
+
+def block_of(host: Column, parts: Column, blocks: int) -> Column:
+    """The block of a host: those of its domain, or of one of the parts of a domain that has more hosts than a block."""
+    return F.pmod(F.xxhash64(domain(host), F.pmod(F.xxhash64(host), parts)), F.lit(blocks)).cast("int")
+
+
+def _solve(rows: pd.DataFrame, least: float) -> pd.DataFrame:
+    """What the hosts of one block get in all from what came in, over the block's own edges.
+
+    Steps go on until no host gets more than ``least`` of what it has. As a step keeps less than all, and a host without any
+    gets all, that is after as many steps as the longest path has, and some.
+    """
+    out = []
+    rows = rows.sort_values(["kind", "src", "dst"], na_position="first")  # sums in one order, however the rows came
+    for kind, own in rows.groupby("kind", sort=True):
+        given, edges = own[own["dst"].isna()], own[own["dst"].notna()]
+        names = pd.Index(pd.unique(pd.concat([own["src"], edges["dst"]])))
+        a, b, p = names.get_indexer(edges["src"]), names.get_indexer(edges["dst"]), edges["value"].to_numpy()
+        left = np.bincount(names.get_indexer(given["src"]), given["value"].to_numpy(), len(names))
+        got = np.zeros(len(names))
+        while (left > least * got).any():
+            got += left
+            left = np.bincount(b, left[a] * p, len(names))
+        held = got > 0
+        out.append(pd.DataFrame({"kind": kind, "host": names[held], "score": got[held]}))
+    return pd.concat(out) if out else pd.DataFrame({"kind": [], "host": [], "score": []})
+
+
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def converged(edges: DataFrame, seeds: DataFrame, damping: float = 0.8, tolerance: float = 1e-6, block_hosts: int = BLOCK_HOSTS) -> DataFrame:
+    """Scores ``kind, host, score`` as ``propagate`` gives them after all its rounds.
+
+    Hosts are dealt into blocks of about ``block_hosts``, domain by domain. What comes into a block is passed on within it
+    to the end in one task; then what its hosts have got crosses to other blocks, over edges that Spark
+    joins. The next round takes only hosts to which more than ``tolerance`` of their score is still undelivered; what
+    is less is kept until it is more. So the work of a round shrinks with what is open, a host reached for the first time always counts,
+    and rounds follow the blocks that a path crosses, not its hosts.
+    """
+    spark = edges.sparkSession
+    hosts = edges.select(F.explode(F.array("src", "dst")).alias("host")).unionByName(seeds.select("host")).distinct()
+    per_domain = hosts.groupBy(domain(F.col("host")).alias("domain")).agg(F.count("*").alias("n"))
+    sizes, sizes_path = _stored(per_domain, "domains")
+    blocks = max(1, -(-(sizes.agg(F.sum("n").alias("n")).head()["n"] or 0) // block_hosts))
+    # At most one domain for each block.
+    large = sizes.where(F.col("n") > block_hosts).select("domain", F.ceil(F.col("n") / block_hosts).alias("parts"))
+
+    def dealt(df: DataFrame, host: str, name: str) -> DataFrame:
+        split = large.select(F.col("domain").alias("_domain"), F.col("parts").alias("_parts"))
+        met = df.join(split, domain(F.col(host)) == F.col("_domain"), "left")
+        return met.withColumn(name, block_of(F.col(host), F.coalesce("_parts", F.lit(1)), blocks)).drop("_domain", "_parts")
+
+    out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("_out"))
+    shares = edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("_out") * damping).alias("value"))
+    moves, moves_path = _stored(dealt(dealt(shares, "src", "block"), "dst", "_to"), "moves")
+    inner = moves.where(F.col("block") == F.col("_to")).select("block", "kind", "src", "dst", "value")
+    outer = moves.where(F.col("block") != F.col("_to")).select("kind", "src", "dst", "value")
+
+    def solved(given: DataFrame) -> DataFrame:
+        """What hosts get of ``kind, host, mass`` within their blocks; blocks that get nothing have no task."""
+        come = dealt(given, "host", "block").select("block", "kind", F.col("host").alias("src"), F.lit(None).cast("string").alias("dst"), F.col("mass").alias("value"))
+        own = inner.join(come.select("block").distinct(), "block", "left_semi")
+        least = tolerance / 1000
+        return come.unionByName(own).groupBy("block").applyInPandas(lambda rows: _solve(rows[["kind", "src", "dst", "value"]], least), "kind string, host string, score double")
+
+    start = seeds.groupBy("kind", "host").agg((F.sum("mass") * (1 - damping)).alias("mass")).where("mass > 0")
+    gained, path = _stored(solved(start), "gained")
+    score, waiting, written = gained, None, [path]
+    while not outer.isEmpty():
+        sent = gained.withColumnRenamed("host", "src").join(outer, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("value")).alias("mass"))
+        sent = sent if waiting is None else sent.unionByName(waiting)
+        mass = sent.groupBy("kind", "host").agg(F.sum("mass").alias("mass")).where("mass > 0")
+        open_ = F.col("mass") > F.coalesce("score", F.lit(0.0)) * tolerance
+        pending, pending_path = _stored(mass.join(score, ["kind", "host"], "left").select("kind", "host", "mass", open_.alias("open")), "pending")
+        if pending.where("open").isEmpty():
+            break
+        waiting = pending.where("not open").select("kind", "host", "mass")
+        gained, gained_path = _stored(solved(pending.where("open").select("kind", "host", "mass")), "gained")
+        score, score_path = _stored(score.unionByName(gained).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
+        for old in written:  # the round before, whose successors stand
+            drop_path(spark, old)
+        written = [pending_path, gained_path, score_path]
+    return score
+
+
 def significant(score: Column, digits: int = 12) -> Column:
     """Rounded relative to its size, so that the order of a sum does not show and small scores stay."""
     return F.format_string(f"%.{digits - 1}e", score).cast("double")
@@ -128,8 +225,8 @@ def host_verdicts(pages: DataFrame, threshold: float = 0.6, **options) -> DataFr
     edges = cut_lineage(links.unionByName(parent_edges(hosts)).groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
     forward = edges.select(F.lit(ALLOW).alias("kind"), "src", "dst", "weight")
     against = edges.select(F.lit(BLOCK).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    options = {"rounds": None, "checkpoint_every": 6, **options}
-    scores = propagate(forward.unionByName(against), seeds, **options).groupBy("host").agg(
+    every = forward.unionByName(against)
+    scores = (propagate if "rounds" in options else converged)(every, seeds, **options).groupBy("host").agg(
         *[significant(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0))).alias(c) for k, c in ((ALLOW, "trust"), (BLOCK, "distrust"))]
     )
     whole = per_host.select("host").join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
