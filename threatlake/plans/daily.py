@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +33,15 @@ def refresh(
     mark: str | int = "",
     extractors: Sequence[ExtractorSpec] = (CVE, MSID),
     buckets: int = BUCKETS,
+    derived: Sequence[tuple[Callable[[DataFrame], DataFrame], list[MappingSpec]]] = (),
 ) -> DataFrame:
     """Extract, map, merge and frame the records after ``mark``; return the changed documents.
 
     Without a mark all records are taken. Every stage is saved under its increment and skipped when an earlier run
     finished it. Statements merge into the store, so increments give the same documents as one full run. After the
     first run only the documents that new statements can reach are framed again, and only those that
-    came out different are written, as a commit of the document log (``doclog``).
+    came out different are written, as a commit of the document log (``doclog``). ``derived`` are further rows to map, each with
+    its models: what is found in the records, such as identifiers and mentions of names, becomes entities of its own.
 
     An increment that the log covers returns the delta that it had and changes nothing. Increments that reached the
     store while their run stopped before the commit are covered by the next one.
@@ -54,7 +56,9 @@ def refresh(
         increment_folder(f"{out}/extractions", mark),
         lambda: extract(with_json(picked), *extractors).drop("json_rep"),
     )
-    upsert(spark, f"{out}/state", str(mark), statements(route(with_json(extracted), routes), models), buckets)
+    records = with_json(extracted)
+    mapped = [statements(route(records, routes), models)] + [statements(rows(records), specs) for rows, specs in derived]
+    upsert(spark, f"{out}/state", str(mark), reduce(DataFrame.unionByName, mapped), buckets)
     _, top = doclog.head(spark, log)
     pending = [f for f in increments(spark, f"{out}/state") if f.rsplit("increment=", 1)[1] not in top["covered"]]
     merged = read_state(spark, f"{out}/state")

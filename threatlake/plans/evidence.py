@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_day
@@ -14,13 +14,15 @@ from ..functions.json import blank_fields, text_at
 from ..functions.text import drop_blank_lines, is_email, numbered_user, table_name
 from ..functions.dates import offset_epoch_millis, week_of_month
 from ..operators.extract import CVE, EMAIL, MSID, ExtractorSpec, CVE_PATTERN, SOURCE_FIELDS, entity_inputs, extract, extraction_rows
-from ..operators.mapping import route
+from ..operators.frames import FrameSpec, frame
+from ..operators.mapping import MappingSpec, route, statements
+from ..operators.merge import materialise
 from ..operators.profile import attribute_paths, shared_attributes, source_schemas
 from ..session import scratch_path
 from ..sources.cdr import add_partitions, between, quarantine, query_cdr, since, with_json, without_target_system
 from ..sources.events import event_quarantine
-from ..sources.feeds import FEEDS, FULL_LOAD, completeness, pulls
-from ..sources.files import rows_as_json
+from ..sources.feeds import FEEDS, FULL_LOAD, completeness, page_chains, pulls
+from ..sources.files import delimited_quarantine, read_delimited_whole, rows_as_json
 from ..sources.landing import as_keyed_json, backup_pulls, drop_known, import_partitions, land, write_cdr
 from . import views as v
 from .registry import query
@@ -170,6 +172,66 @@ def feed_pulls(spark, sf):
     )
 
 
+#: Pages of ten rows; of every pull some pages are lost, come twice, or come once more with fewer rows.
+PAGE = 10
+
+
+@query("feed_pages", "", f"""
+WITH r AS (SELECT coalesce(source, 'none') AS source_name, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k FROM documents),
+p AS (SELECT source_name, (k // {PAGE}) * {PAGE} AS start, count(*) AS n, k // {PAGE} AS page FROM r GROUP BY ALL),
+t AS (SELECT source_name, sum(n) AS total FROM p GROUP BY 1),
+kept AS (SELECT *, CASE WHEN page % 5 = 2 THEN 1 ELSE 0 END AS again FROM p WHERE page % 7 <> 3 OR source_name IN ('src1', 'src2', 'src4')),
+g AS (SELECT *, greatest(start - coalesce(max(start + n) OVER (PARTITION BY source_name ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS gap FROM kept),
+w AS (SELECT source_name, count(*) AS pages, sum(again) AS repeats, count(*) FILTER (gap > 0) + max(CASE WHEN start = 0 THEN 1 ELSE 0 END) AS islands, sum(gap) AS missing, sum(n) AS rows,
+      arg_max(n < {PAGE}, start) AS short, max(start + n) AS reach FROM g GROUP BY 1)
+SELECT source_name, pages, CAST(repeats AS BIGINT) AS repeats, CAST(islands AS BIGINT) AS islands, CAST(missing AS BIGINT) AS missing, CAST(0 AS BIGINT) AS overlap, CAST(rows AS BIGINT) AS rows,
+       CASE WHEN source_name <> 'src2' THEN CAST(total AS BIGINT) ELSE -1 END AS total, short OR (source_name <> 'src2' AND reach >= total) AS ended,
+       (short OR (source_name <> 'src2' AND reach >= total)) AND missing = 0 AND (source_name = 'src2' OR rows = total) AS complete
+FROM w JOIN t USING (source_name)""")
+def feed_pages(spark, sf):
+    """Pages of feed pulls held against what their service declared: gaps, repeats, the short last page."""
+    by_source = Window.partitionBy("source").orderBy("doc_id")
+    rows = v.table(spark, sf, "documents").select(F.coalesce("source", F.lit("none")).alias("source_name"), (F.row_number().over(by_source) - 1).alias("k"))
+    page = F.floor(F.col("k") / PAGE).alias("page")
+    pages = rows.groupBy("source_name", page).agg(F.count("*").alias("n"))
+    totals = pages.groupBy("source_name").agg(F.sum("n").alias("total")).withColumn("total", F.when(F.col("source_name") != "src2", F.col("total")))
+    landed = pages.where((F.col("page") % 7 != 3) | F.col("source_name").isin("src1", "src2", "src4"))
+    twice = landed.where(F.col("page") % 5 == 2).withColumn("n", F.col("n") - 1)  # the second try got fewer rows
+    every = landed.unionByName(twice).join(totals, "source_name")
+    chains = page_chains(every.select("source_name", F.lit(dt.date(2024, 1, 30)).alias("pull_date"), (F.col("page") * PAGE).alias("start"), "n", F.lit(PAGE).alias("page_limit"), "total"))
+    return chains.select("source_name", "pages", "repeats", F.col("islands").cast("bigint").alias("islands"), "missing", "overlap", "rows", F.coalesce("total", F.lit(-1)).alias("total"), "ended", "complete")
+
+
+@query("csv_run", "", """
+WITH c AS (SELECT s_suppkey AS k, s_name AS name, s_nationkey AS n FROM supplier)
+SELECT 'supplier' AS doc_type, 'supplier/' || k AS uri, '{"uri":"supplier/' || k || '","a":["Supplier"],"name":["' || name || '"]' ||
+       CASE WHEN k % 5 = 1 THEN '' ELSE ',"nation":[{"uri":"nation/' || n || '","a":["Nation"],"name":["' || n_name || '"]}]' END || '}' AS doc
+FROM c JOIN nation ON n = n_nationkey WHERE k % 5 <> 2
+UNION ALL SELECT 'held', k || ',' || name || ',' || n || ',more,fields', '-' FROM c WHERE k % 5 = 2
+UNION ALL SELECT 'lines', CAST(count(*) AS VARCHAR), '-' FROM c""")
+def csv_run(spark, sf):
+    """One CSV folder mapped and framed at once; short rows keep what they have, rows of too many fields are held with their line."""
+    path = scratch_path(spark, "csv")
+    supplier = v.table(spark, sf, "supplier")
+    line = F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.when(F.col("s_suppkey") % 5 != 1, F.col("s_nationkey").cast("string")), F.when(F.col("s_suppkey") % 5 == 2, F.lit("more,fields")))
+    # One file: its first line is the header, and Spark's own CSV writer would not write ragged rows.
+    header = spark.createDataFrame([("key,name,nation",)], "value string")
+    lines = header.withColumn("_at", F.lit(-1).cast("bigint")).unionByName(supplier.select(line.alias("value"), F.col("s_suppkey").cast("bigint").alias("_at")))
+    lines.repartition(1).sortWithinPartitions("_at").select("value").write.text(path)
+    rows, held = read_delimited_whole(spark, path), delimited_quarantine(spark, path)
+    nation = v.table(spark, sf, "nation").select(F.lit("nations").alias("source_name"), F.lit("nations").alias("model"), F.col("n_nationkey").cast("string").alias("key"), F.col("n_name").alias("name"), F.lit(None).cast("string").alias("nation"))
+    records = rows.select(F.lit("csv").alias("source_name"), F.lit("csv").alias("model"), "key", "name", "nation").unionByName(nation)
+    models = [
+        MappingSpec("csv", "Supplier", F.concat(F.lit("supplier/"), "key"), {"name": F.col("name")}, {"nation": F.concat(F.lit("nation/"), "nation")}),
+        MappingSpec("nations", "Nation", F.concat(F.lit("nation/"), "key"), {"name": F.col("name")}),
+    ]
+    graph = materialise(statements(records, models), scratch_path(spark, "csv-statements"))
+    docs = frame(graph, "supplier", FrameSpec("Supplier", {"name": None, "nation": FrameSpec("Nation", {"name": None})})).select("doc_type", "uri", "doc")
+    none = F.lit("-").alias("doc")
+    total = rows.agg(F.count("*").alias("n")).unionByName(held.agg(F.count("*").alias("n"))).agg(F.sum("n").cast("string").alias("uri"))
+    return docs.unionByName(held.select(F.lit("held").alias("doc_type"), F.col("line").alias("uri"), none)).unionByName(total.select(F.lit("lines").alias("doc_type"), "uri", none))
+
+
 @query("cdr_partition_append", "order_cdr", '''
 SELECT "year", "month", count(*) AS n, count(DISTINCT _id) AS ids FROM order_cdr GROUP BY 1, 2''')
 def cdr_partition_append(spark, sf):

@@ -8,8 +8,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import doclog, frames, merge, profile, publish, state
+from ..functions.text import normalise
+from ..operators.mapping import MappingSpec, many, model_routes
+from ..operators.mentions import identifier_rows, mention_rows
 from ..schema import STATEMENT_COLUMNS
 from ..session import cut_lineage, scratch_path
+from ..sources.feeds import FEEDS
+from ..sources.landing import import_partitions, land, write_cdr
 from . import views as v
 from .daily import publish_day, published, refresh
 from .registry import query
@@ -257,6 +262,76 @@ def document_log(spark, sf):
     return doclog.documents(spark, root).select("uri", F.col("seq").cast("int").alias("version"))
 
 
+def _gazetteer(spark, sf):
+    """Whole passages, their first three tokens, and two words that many texts have: names within names."""
+    passages = v.table(spark, sf, "benchmark")
+    opening = F.array_join(F.slice(F.split(normalise(F.col("text")), " "), 1, 3), " ")
+    rows = passages.select(F.col("text").alias("term"), F.lit("passage").alias("kind")).unionByName(passages.select(opening.alias("term"), F.lit("opening").alias("kind")))
+    return rows.unionByName(spark.createDataFrame([("In the", "words"), ("que la", "words")], "term string, kind string")).distinct()
+
+
+def _evidence_models():
+    """Blogs and articles with the identifiers and names that they hold, and these as entities."""
+    uri, name = F.concat(F.lit("record/"), "_id"), F.concat(F.lit("name/"), F.md5("term"))
+
+    def found(kind):
+        return many(F.transform(f"extractions.{kind}", lambda h: F.concat(F.lit(f"{kind}/"), F.lower(h["value"]))))
+
+    body = {"id": F.try_variant_get("json_rep", "$.id", "string")}, {"cve": found("cve"), "bulletin": found("msid")}
+    types = {"hg-blogs": "Blog", "isi-news": "NewsArticle"}
+    own = [MappingSpec(s, t, uri, *body) for s, t in types.items()]
+    names = [MappingSpec(f"mention.{t}", t, uri, {}, {"mentions": name}) for t in types.values()] + [MappingSpec("name", "Name", name, {"name": F.col("term"), "kind": F.col("kind")})]
+    ids = [MappingSpec(f"identifier.{k}", t, F.concat(F.lit(f"{k}/"), "value"), {"name": F.col("value")}) for k, t in (("cve", "Vulnerability"), ("msid", "Bulletin"))]
+    named, name_ = frames.FrameSpec("Name", {"name": None, "kind": None}), {"name": None}
+    links = {"id": None, "cve": frames.FrameSpec("Vulnerability", name_), "bulletin": frames.FrameSpec("Bulletin", name_), "mentions": named}
+    return own, names, ids, {t.lower(): frames.FrameSpec(t, links) for t in types.values()}
+
+
+@query("evidence_run", "evidence", r"""
+WITH RECURSIVE d AS (SELECT CAST(replace(_id, 'doc/', '') AS BIGINT) AS id, CASE source_name WHEN 'hg-blogs' THEN 'blog' ELSE 'newsarticle' END AS doc_type, full_text,
+       string_split(trim(regexp_replace(lower(full_text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS tok FROM evidence WHERE source_name IN ('hg-blogs', 'isi-news')),
+b AS (SELECT text, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS n FROM benchmark),
+g AS (SELECT DISTINCT text AS term, 'passage' AS kind, string_split(n, ' ') AS t FROM b
+    UNION SELECT array_to_string(string_split(n, ' ')[1:3], ' '), 'opening', string_split(n, ' ')[1:3] FROM b
+    UNION VALUES ('In the', 'words', ['in', 'the']), ('que la', 'words', ['que', 'la'])),
+s AS (SELECT DISTINCT id, term, i AS place, -len(t) AS back FROM (SELECT d.id, d.tok, g.term, g.t, unnest(range(1, len(d.tok) - len(g.t) + 2)) AS i FROM d JOIN g
+      ON contains(' ' || array_to_string(d.tok, ' ') || ' ', ' ' || array_to_string(g.t, ' ') || ' ')) WHERE tok[i] = t[1] AND tok[i:i + len(t) - 1] = t),
+w AS (SELECT id, min(row(place, back, term)) AS m FROM s GROUP BY id
+    UNION ALL SELECT w.id, min(row(s.place, s.back, s.term)) FROM w JOIN s ON s.id = w.id AND s.place >= w.m[1] - w.m[2] GROUP BY w.id, w.m),
+names AS (SELECT id, string_agg(DISTINCT term || '|' || kind, ';' ORDER BY term || '|' || kind) AS mentions FROM (SELECT id, m[3] AS term FROM w) JOIN (SELECT DISTINCT term, kind FROM g) USING (term) GROUP BY id)
+SELECT doc_type, id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(full_text, '(?i)(cve-[0-9]{4}-[0-9]{4,7})', 1), lambda x: lower(x)))), ';') AS cves,
+       array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(full_text, '(?i)(ms[0-9]{2}-[0-9]{3})', 1), lambda x: lower(x)))), ';') AS bulletins, coalesce(mentions, '') AS mentions
+FROM d LEFT JOIN names USING (id)""")
+def evidence_run(spark, sf):
+    """Feed lines landed, cleaned, searched for identifiers and names, mapped, merged and framed, in two increments."""
+    docs = v.evidence_text(spark, sf).where(F.col("source_name").isin("hg-blogs", "isi-news"))
+    number = F.replace("_id", F.lit("doc/"), F.lit(""))
+    path = scratch_path(spark, "evidence-cdr")
+    for source in ("hg-blogs", "isi-news"):
+        own = docs.where(F.col("source_name") == source)
+        line = F.concat(F.lit('{"id": '), number, F.lit(", "), F.substring("raw_content", 2, 1 << 30))
+        raw = own.select(line.alias("raw_content"), (number.cast("bigint") % 2 * 86400).alias("at"))
+        for at in (0, 86400):
+            write_cdr(land(raw.where(F.col("at") == at).select("raw_content"), FEEDS[source], at + 1), path)
+    cdr = import_partitions(spark, path)
+    own, names, ids, spec = _evidence_models()
+    gazetteer = cut_lineage(_gazetteer(spark, sf))
+    derived = [(lambda records: mention_rows(records, gazetteer), names), (lambda records: identifier_rows(records, "cve", "msid"), ids)]
+    out, routes = scratch_path(spark, "evidence"), model_routes(spark, ["hg-blogs", "isi-news"])
+    refresh(spark, cdr.where("timestamp < 86400"), out, routes, own, spec, buckets=8, derived=derived)
+    refresh(spark, cdr, out, routes, own, spec, mark=86400, buckets=8, derived=derived)
+    listed = "array<struct<name: array<string>, kind: array<string>>>"
+    doc = F.from_json("doc", f"id array<string>, cve {listed}, bulletin {listed}, mentions {listed}")
+
+    def joined(items):
+        return F.array_join(F.array_sort(F.array_distinct(F.coalesce(items, F.array().cast("array<string>")))), ";")
+
+    pairs = F.flatten(F.transform(doc["mentions"], lambda m: F.transform(m["kind"], lambda k: F.concat_ws("|", m["name"][0], k))))
+    return doclog.documents(spark, f"{out}/documents").select(
+        "doc_type", doc["id"][0].cast("bigint").alias("id"), joined(F.flatten(F.transform(doc["cve"], lambda m: m["name"]))).alias("cves"),
+        joined(F.flatten(F.transform(doc["bulletin"], lambda m: m["name"]))).alias("bulletins"), joined(pairs).alias("mentions"))
+
+
 @query("rekey_documents", "", """
 SELECT sha256('customer/' || c_custkey) AS doc_id, '{"Customer_Party":{"name":"' || c_name || '","uri":"customer/' || c_custkey || '"}}' AS doc FROM customer""")
 def rekey_documents(spark, sf):

@@ -506,6 +506,8 @@ def check_sql(uses: str, body: str) -> str:
         return body
     heads = ",\n".join(f"{name} AS ({SQL[name][1]})" for name in order)
     # A body with CTEs of its own continues the list.
+    if body.lstrip().upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {heads},\n{body.lstrip()[15:]}"
     if body.lstrip().upper().startswith("WITH "):
         return f"WITH {heads},\n{body.lstrip()[5:]}"
     return f"WITH {heads}\n{body}"

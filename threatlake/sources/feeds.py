@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A pull "since" this date asks for everything.
@@ -95,3 +95,29 @@ def completeness(batch: DataFrame, declared: DataFrame) -> DataFrame:
         "last_pull",
         (F.coalesce("landed", F.lit(0)) >= F.col("total")).alias("complete"),
     )
+
+
+def page_chains(pages: DataFrame) -> DataFrame:
+    """Whether the pages of each pull make up the whole: one row for each pull.
+
+    ``pages`` has ``source_name, pull_date, start`` (rows before the page), ``n`` (its rows), ``page_limit`` and ``total`` (what the
+    service declares, or null). Of a page that came more than once the longest counts, the others are ``repeats``. Pages that
+    follow each other are an island; rows between two islands are ``missing``, and so is what lies before the first; rows that
+    two pages share are ``overlap``. A pull has ended when a page is shorter than its limit or the total is reached, and is
+    complete when it has ended with nothing missing and, where a total is declared, just as many rows.
+    """
+    pull = ["source_name", "pull_date"]
+    by_page = pages.groupBy(*pull, "start").agg(F.max("n").alias("n"), F.count("*").alias("_times"), F.max("page_limit").alias("page_limit"), F.max("total").alias("total"))
+    # Pages of one pull, a number each: a long pull is a few thousand rows.
+    before = Window.partitionBy(*pull).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max(F.col("start") + F.col("n")).over(before), F.lit(0))
+    placed = by_page.withColumn("_reach", reach).withColumn("_gap", F.greatest(F.col("start") - F.col("_reach"), F.lit(0)))
+    shared = F.greatest(F.least(F.col("_reach"), F.col("start") + F.col("n")) - F.col("start"), F.lit(0))
+    whole = placed.groupBy(*pull).agg(
+        F.count("*").alias("pages"), F.sum(F.col("_times") - 1).alias("repeats"), (F.count_if(F.col("_gap") > 0) + F.max((F.col("start") == 0).cast("int"))).alias("islands"),
+        F.sum("_gap").alias("missing"), F.sum(shared).alias("overlap"), F.sum(F.col("n") - shared).alias("rows"), F.max("total").alias("total"),
+        F.max_by(F.col("n") < F.col("page_limit"), "start").alias("_short"), F.max(F.col("start") + F.col("n")).alias("_end"),
+    )
+    ended = F.col("_short") | F.coalesce(F.col("_end") >= F.col("total"), F.lit(False))
+    complete = ended & (F.col("missing") == 0) & F.coalesce(F.col("rows") == F.col("total"), F.lit(True))
+    return whole.select(*pull, "pages", "repeats", "islands", "missing", "overlap", "rows", "total", ended.alias("ended"), complete.alias("complete"))

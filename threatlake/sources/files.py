@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,38 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     )
 
 
+def _flagged(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """Delimited rows with ``_line``, the line of those that have not as many fields as the header, and ``_file``."""
+    def reader():
+        return spark.read.option("header", True).option("sep", sep).option("quote", "").option("ignoreLeadingWhiteSpace", False)
+
+    names = reader().csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_line"]])
+    # A reader that parses only the columns asked for would not see that a row has more.
+    rows = reader().schema(schema).option("columnPruning", False).option("columnNameOfCorruptRecord", "_line").csv(path)
+    return rows.withColumn("_file", F.col("_metadata.file_path"))
+
+
+def _too_many(sep: str, names: list[str]) -> Column:
+    # Spark does not read a line by itself: the first field, of whatever length, is asked for too.
+    read = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
+    return read & F.coalesce(F.size(F.split("_line", re.escape(sep), -1)) > len(names), F.lit(False))
+
+
+def read_delimited_whole(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """As ``read_delimited``; rows of more fields than the header has would lose some and are in ``delimited_quarantine``."""
+    rows = _flagged(spark, path, sep)
+    names = rows.columns[:-2]
+    return rows.where(~_too_many(sep, names)).select(*[F.col(f"`{c}`") for c in names])
+
+
+def delimited_quarantine(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """``(file, line)`` of the rows that have more fields than the header."""
+    rows = _flagged(spark, path, sep)
+    names = rows.columns[:-2]
+    return rows.where(_too_many(sep, names)).select(F.col("_file").alias("file"), F.col("_line").alias("line"))
+
+
 def rows_as_json(rows: DataFrame) -> DataFrame:
     """Each row as JSON text: absent values left out, decimals as numbers, ISO times."""
     plain = [

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import idindex
 from ..operators.state import increment_folder, increments, stage_done, upsert
+from ..session import cut_lineage
 from ..sources.cdr import add_partitions
 from ..sources.feeds import FeedSpec
-from ..sources.landing import drop_known, land
+from ..sources.landing import land
 
 LATE_DAYS = 2
 COUNTS = "source_name string, day timestamp, count_downloaded bigint, late boolean"
@@ -99,21 +101,24 @@ def late_counts(spark: SparkSession, out: str) -> DataFrame:
 
 
 def first_seen_stream(records: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Pass on each ``_id`` once, however often and however late it comes again.
+    """Pass on each ``_id`` once, however often and however late it comes again; records without an id all pass.
 
     Each micro-batch is thinned to one row per id on the map side before ids are
     compared, so an id that most records share does not load one state task, as it
-    would with a streaming de-duplication. A batch that is run again replaces its
-    own output only.
+    would with a streaming de-duplication. Ids are compared through ``idindex``: a batch whose ids are new reads a
+    bitmap of fixed size and no earlier ids. A batch that is run again replaces its own output only.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         spark, folder = batch.sparkSession, increment_folder(out, f"batch-{batch_id:012d}")
-        if not stage_done(spark, folder):
-            passed = increments(spark, out)
-            seen = spark.read.schema("_id string").parquet(*passed) if passed else None
-            fresh = batch.dropDuplicates(["_id"]) if seen is None else drop_known(batch, seen)
-            fresh.write.mode("overwrite").parquet(folder)
+        if stage_done(spark, folder):
+            return
+        named = cut_lineage(batch.where(F.col("_id").isNotNull()).dropDuplicates(["_id"]))
+        fresh, _ = idindex.unseen(spark, out, named)
+        every = fresh.unionByName(batch.where(F.col("_id").isNull()))
+        by_bucket = every.withColumn("bucket", F.coalesce(idindex.bucket(F.col("_id")), F.lit(0))).hint("rebalance", "bucket")
+        by_bucket.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(folder)
+        idindex.save_bitmap(spark, out)
 
     return (
         records.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
