@@ -54,32 +54,30 @@ def matches(text: Column, pattern: str) -> Column:
 def contexts(text: Column, values: Column, pattern: str, width: int) -> Column:
     """The matches ``values`` as ``ARRAY<STRUCT<value, context>>``, ``width`` characters each way.
 
-    Match positions come from the lengths of the pieces between matches, so that
-    neighbouring matches cannot swallow each other's context. Text without
-    matches is not looked at again.
+    What follows a match is captured by looking ahead, which takes nothing from the next match. What precedes it is the end of
+    the last few pieces between and of matches, as many as can be needed. So each match costs the same,
+    however many there are. Text without matches is not looked at again.
     """
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    steps = F.zip_with(values, F.slice(gaps, 1, F.size(values)), lambda v, g: F.struct(v.alias("v"), g.alias("g")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    starts = F.aggregate(
-        steps,
-        start,
-        lambda acc, s: F.struct(
-            (acc["at"] + s["g"] + F.length(s["v"])).alias("at"),
-            F.concat(acc["starts"], F.array(acc["at"] + s["g"])).alias("starts"),
-        ),
-        lambda acc: acc["starts"],
-    )
+    if not width:
+        return F.transform(values, lambda v: F.struct(v.alias("value"), v.alias("context")))
+    after = F.regexp_extract_all(text, F.lit(rf"(?=((?:{pattern})(?s:.{{0,{width}}})))(?:{pattern})"), F.lit(1))
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.right(g, F.lit(width)))
+    pieces = F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda g, v: F.concat(g, v))
+    few = F.ceil(F.lit(width) / F.array_min(F.transform(values, F.length))).cast("int")
 
-    def cut(value: Column, at: Column) -> Column:
-        left = F.least(at, F.lit(width))
-        return F.struct(
-            value.alias("value"),
-            F.substr(text, at - left + 1, left + F.length(value) + width).alias("context"),
-        )
+    # Bound to a variable: an expression inside a function of the elements would be computed for each of them.
+    bound = F.array(F.struct(pieces.alias("pieces"), gaps.alias("gaps"), values.alias("values"), few.alias("few")))
+
+    def described(held: Column) -> Column:
+        def one(found: Column, i: Column) -> Column:
+            earlier = F.slice(held["pieces"], F.greatest(i - held["few"], F.lit(0)) + 1, F.least(i, held["few"]))
+            before = F.right(F.concat(F.array_join(earlier, ""), F.get(held["gaps"], i)), F.lit(width))
+            return F.struct(F.get(held["values"], i).alias("value"), F.concat(before, found).alias("context"))
+
+        return F.transform(after, one)
 
     empty = F.array().cast("array<struct<value:string,context:string>>")
-    return F.when(F.size(values) > 0, F.zip_with(values, starts, cut)).otherwise(empty)
+    return F.when(F.size(values) > 0, F.transform(bound, described)[0]).otherwise(empty)
 
 
 def _json_text(path: str) -> Column:
