@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: A letter that no phrase has: it stays when a text is normalised.
+BREAK = "\ua66e"
+
+
 def normalise(text: Column) -> Column:
     """Lower-case letters and digits separated by single spaces."""
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
@@ -27,7 +31,7 @@ def match_phrase(text: Column, phrase: str | Column) -> Column:
 
 def any_field(*fields: Column) -> Column:
     """All text fields as one, with a break that no phrase can cross."""
-    return F.concat_ws(" ␃ ", *fields)
+    return F.concat_ws(f" {BREAK} ", *fields)
 
 
 def drop_blank_lines(text: Column) -> Column:

@@ -11,6 +11,7 @@ from ..operators import audit
 from ..operators.publish import expired_aliases, unnamed_snapshots
 from ..session import scratch_path
 from . import views as v
+from .daily import saved_reports
 from .registry import query
 
 AS_OF = v.AS_OF
@@ -119,6 +120,22 @@ def audit_full_report(spark, sf):
     return audit.full_report(facts(spark, sf), AS_OF).select("source_name", "count_downloaded_today", "median", _text("date_of_pull"))
 
 
+@query("audit_saved_reports", "cdr", f"""
+WITH {FACTS},
+d AS (SELECT unnest([DATE '2024-01-30', DATE '2024-01-23']) AS day),
+known AS (SELECT DISTINCT day, source_name FROM d JOIN facts f ON f.d <= day)
+SELECT strftime(day, '%Y-%m-%d') AS date_of_pull, k.source_name, CAST(coalesce(c, 0) AS BIGINT) AS count_downloaded_today
+FROM known k LEFT JOIN facts f ON f.source_name = k.source_name AND f.d = day""")
+def audit_saved_reports(spark, sf):
+    """Reports saved day by day; those of a day and of the week before are read back, the others' folders are not."""
+    out, every = scratch_path(spark, "reports"), facts(spark, sf)
+    for back in (0, 3, 7):
+        day = AS_OF - dt.timedelta(days=back)
+        rows = audit.full_report(every.where(F.col("date_of_pull") <= F.lit(day)), day)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_of_pull").parquet(f"{out}/report")
+    return saved_reports(spark, out, AS_OF).select(_text("date_of_pull"), "source_name", "count_downloaded_today")
+
+
 @query("audit_zero_runs", "cdr", f"""
 WITH {HISTORY}
 SELECT source_name, CAST(today AS BIGINT) AS today, longest_run, CASE WHEN today = 0 THEN leading_run ELSE 0 END AS current_run

@@ -22,7 +22,7 @@ from ..session import scratch_path
 from ..sources.cdr import add_partitions, between, quarantine, query_cdr, since, with_json, without_target_system
 from ..sources.events import event_quarantine
 from ..sources.feeds import FEEDS, FULL_LOAD, completeness, page_chains, pulls
-from ..sources.files import delimited_quarantine, read_delimited_whole, rows_as_json
+from ..sources.files import delimited_quarantine, modelling_records, read_delimited_whole, rows_as_json
 from ..sources.landing import as_keyed_json, backup_pulls, drop_known, import_partitions, land, write_cdr
 from . import views as v
 from .registry import query
@@ -172,6 +172,17 @@ def feed_pulls(spark, sf):
     )
 
 
+@query("json_line_records", "", """
+SELECT 'clicks_' || md5(props) AS _id, props AS raw_content, 'clicks' AS source_name, 'isi' AS team, 1706572800 AS "timestamp", count(*) AS n FROM events WHERE length(trim(props)) > 0 GROUP BY ALL""")
+def json_line_records(spark, sf):
+    """A file of JSON lines, with blank ones between, as evidence records."""
+    path = scratch_path(spark, "lines")
+    line = F.when(F.col("event_id") % 3 == 0, F.concat("props", F.lit("\n \n"))).otherwise(F.concat(F.lit("  "), "props"))
+    v.table(spark, sf, "events").select(line.alias("value")).write.text(path)
+    records = modelling_records(spark, path, "json", "clicks", "isi", F.lit(1706572800))
+    return records.groupBy("_id", "raw_content", "source_name", "team", "timestamp").agg(F.count("*").alias("n"))
+
+
 #: Pages of ten rows; of every pull some pages are lost, come twice, or come once more with fewer rows.
 PAGE = 10
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions.text import any_field
+from ..functions.text import BREAK, any_field
 from ..operators import search, social
 from . import views as v
 from .registry import query
@@ -68,14 +68,17 @@ def search_publisher_counts(spark, sf):
 
 
 @query("search_monthly_histogram", "docs", """
-WITH w AS (SELECT unnest(['in the', 'of', 'que la', 'der']) AS phrase),
+WITH w AS (SELECT unnest(['in the', 'of', 'que la', 'der', 'src3', 'document 7']) AS phrase),
 m AS (SELECT phrase, CAST(date_trunc('month', d) AS DATE) AS month, count(*) AS n FROM (
-    SELECT phrase, unnest([start_date, date_published, observed_date]) AS d FROM docs JOIN w ON contains(' ' || norm || ' ', ' ' || phrase || ' '))
+    SELECT phrase, unnest([start_date, date_published, observed_date]) AS d FROM docs JOIN w ON contains(' ' || norm || ' ', ' ' || phrase || ' ')
+        OR lower(name) = phrase OR list_contains(publisher, phrase))
     WHERE d IS NOT NULL GROUP BY 1, 2),
 spine AS (SELECT phrase, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH))::DATE AS month FROM m GROUP BY 1)
 SELECT phrase, strftime(month, '%Y-%m-%d') AS month, coalesce(n, 0) AS n FROM spine LEFT JOIN m USING (phrase, month)""")
 def search_monthly_histogram(spark, sf):
-    rows = search.monthly_histogram(v.doc_index(spark, sf), F.col("text"), WORDS)
+    """Phrase matches in any field by month: texts, names and publishers."""
+    every = any_field(F.col("name"), F.col("text"), F.array_join("publisher", f" {BREAK} "))
+    rows = search.monthly_histogram(v.doc_index(spark, sf), every, [*WORDS, "src3", "document 7"])
     return rows.withColumn("month", F.date_format("month", "yyyy-MM-dd"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import groundtruth as gt
+from ..session import scratch_path
 from . import views as v
 from .registry import query
 
@@ -54,6 +55,43 @@ def gt_daily_series(spark, sf):
     return gt.daily_series(events, ["globex"]).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
+@query("gt_series_files", "gt", """
+WITH s AS (SELECT company, CASE WHEN company = 'globex' AND kind = 'malicious-url' THEN 'malicious-destination' ELSE kind END AS event_type, event_day AS d
+           FROM gt WHERE occurred <> 'soon' AND NOT (company = 'globex' AND kind = 'malicious-destination')),
+c AS (SELECT company, event_type, d, count(*) AS n FROM s WHERE event_type IN ('endpoint-malware', 'malicious-email', 'malicious-destination') GROUP BY 1, 2, 3),
+days AS (SELECT company, event_type, unnest(generate_series(min(d), max(d), INTERVAL 1 DAY))::DATE AS d FROM c GROUP BY 1, 2)
+SELECT 'csv' AS form, company, event_type, strftime(d, '%Y-%m-%d') AS "date", coalesce(n, 0) AS "count" FROM days LEFT JOIN c USING (company, event_type, d)
+UNION ALL SELECT 'jl', company, event_type, strftime(d, '%Y-%m-%d'), n FROM c""")
+def gt_series_files(spark, sf):
+    """The daily series as they are written: CSV with the empty days, JSON lines without."""
+    out = scratch_path(spark, "series")
+    events = v.ground_truth(spark, sf).withColumn("company", F.split_part("file", F.lit("/"), F.lit(1)))
+    gt.write_series(gt.daily_series(events, ["globex"]), out)
+    kind = "company string, event_type string, date string, count bigint"
+    csv = spark.read.schema("date string, count bigint, company string, event_type string").option("header", True).csv(f"{out}/csv")
+    lines = spark.read.schema(kind).json(f"{out}/jl")
+    columns = ["company", "event_type", "date", "count"]
+    return csv.select(F.lit("csv").alias("form"), *columns).unionByName(lines.select(F.lit("jl").alias("form"), *columns))
+
+
+@query("gt_histogram_files", "attr", """
+WITH n AS (SELECT attribute, value, count(*) AS n FROM attr GROUP BY 1, 2)
+SELECT 'occurrences' AS form, attribute, CAST(count(*) AS BIGINT) AS n, CAST(sum(times) AS BIGINT) AS k FROM (SELECT attribute, value, occurred, count(*) AS times FROM attr GROUP BY 1, 2, 3) GROUP BY 2
+UNION ALL SELECT 'times_value_seen', attribute, CAST(n AS BIGINT), CAST(count(*) AS BIGINT) FROM n GROUP BY 2, 3
+UNION ALL SELECT 'values_seen', attribute, CAST(n AS BIGINT), CAST(count(*) AS BIGINT) FROM n GROUP BY 2, 3""")
+def gt_histogram_files(spark, sf):
+    """The three histogram files, read back."""
+    out = scratch_path(spark, "histograms")
+    gt.write_histograms(gt.attribute_values(v.ground_truth(spark, sf)), out)
+
+    def read(name, columns):
+        return spark.read.schema(f"{columns}, attribute string").option("header", True).csv(f"{out}/{name}").withColumn("form", F.lit(name))
+
+    times = read("occurrences", "value string, occurred string, times bigint").groupBy("form", "attribute").agg(F.count("*").alias("n"), F.sum("times").alias("k"))
+    seen = read("times_value_seen", "label string, n bigint").groupBy("form", "attribute", "n").agg(F.count_distinct("label").alias("k"))
+    return times.unionByName(seen).unionByName(read("values_seen", "n bigint, k bigint").select("form", "attribute", "n", "k"))
+
+
 @query("gt_user_series", "gt", """
 WITH c AS (SELECT CAST(user_id AS VARCHAR) AS company, 'malicious-email' AS event_type, event_day AS d, count(*) AS n FROM gt
            WHERE event_type = 'view' GROUP BY 1, 2, 3),
