@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import doclog, frames, merge, profile, publish, state
+from ..operators import doclog, frames, merge, profile, publish, retract, state
 from ..functions.text import normalise
 from ..operators.mapping import MappingSpec, many, model_routes
 from ..operators.mentions import identifier_rows, mention_rows
@@ -81,6 +81,18 @@ def ablate_evidence(spark, sf):
     return _as_text(merge.ablate(merge.merge(v.sales_statements(spark, sf)), ["shop-mirror-feed"], SPLIT_DAY))
 
 
+@query("ablate_retraction", "order_docs", """
+SELECT doc_type, uri, CAST(part AS BIGINT) AS part, doc, (SELECT count(*) FILTER (o_orderstatus <> 'F' OR o_orderdate > DATE '1996-01-01') FROM orders) AS framed_again
+FROM order_docs JOIN orders o ON uri = 'order/' || o.o_orderkey WHERE o_orderstatus = 'F' AND o.o_orderdate <= DATE '1996-01-01'""")
+def ablate_retraction(spark, sf):
+    """Without one publisher, and up to a day: orders that another feed also sent stay as they are, the others are framed again."""
+    rows = v.sales_graph(spark, sf)
+    path = scratch_path(spark, "ablation")
+    frames.frame(rows, "order", ORDER_FRAME).write.parquet(path)
+    docs, roots = retract.ablated_documents(rows, spark.read.parquet(path), {"order": ORDER_FRAME}, ["shop-feed"], SPLIT_DAY)
+    return docs.withColumn("framed_again", F.lit(roots.count()))
+
+
 @query("frame_documents", "order_docs", "SELECT doc_type, uri, CAST(part AS BIGINT) AS part, doc FROM order_docs")
 def frame_documents(spark, sf):
     """Orders with their customer and the customer's nation nested in."""
