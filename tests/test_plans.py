@@ -7,7 +7,7 @@ from threatlake.plans import views
 from threatlake.plans.catalog import QUERIES
 from threatlake.session import shared_dir
 
-WRITING = {n for n in QUERIES if n.startswith(("stream_", "state_", "cdr_partition", "cdr_pruned", "frame_", "publish_", "merged_", "search_", "audit_overwrite"))}
+WRITING = {n for n in QUERIES if n.startswith(("stream_", "state_", "cdr_partition", "cdr_pruned", "frame_", "publish_", "merged_", "search_", "audit_overwrite", "audit_saved", "ablate_retraction", "document_log", "evidence_run", "csv_run", "refresh_", "gt_series_files", "gt_histogram_files", "json_line"))}
 
 
 def plan(df):
@@ -34,3 +34,17 @@ def test_report_is_one_aggregation_over_the_counts(spark, sf):
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("name", ["search_phrase_join", "search_short_phrase_top_hits", "search_gazetteer"])
+def test_phrases_go_to_the_texts(spark, sf, name):
+    """The small side is broadcast by its bytes, and no text is shuffled or joined by pairs."""
+    text = plan(QUERIES[name](spark, sf))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "Python" not in text
+
+
+@pytest.mark.parametrize("name", sorted(n for n in WRITING if n.startswith(("frame_", "merged_", "search_"))))
+def test_no_cross_joins_in_the_costly_queries(spark, sf, name):
+    text = plan(QUERIES[name](spark, sf))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "Python" not in text
