@@ -3,7 +3,7 @@
 import numpy as np
 
 import brute
-from threatlake.llm import simhash, vectors
+from threatlake.llm import mixing, simhash, vectors
 
 A, B = "the quick brown fox jumps over the lazy dog by the river", "an entirely different sentence about trees and houses on hills"
 
@@ -35,3 +35,9 @@ def test_each_length_is_compared_by_itself(spark):
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(given, 0.9, block=block, max_cells=cells).collect()}
         assert got == want, (block, cells)
     assert want[161][0] >= 0 and any(n for i, (n, *_) in want.items() if 120 <= i < 160)
+
+
+def test_mixing_shuffles_no_text(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    plan = mixing.mixed(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan

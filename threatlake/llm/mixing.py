@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .common import free_name, n_words
 from .numbering import places
 
@@ -61,16 +61,17 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0, max_rate: float = MAX_RATE, seed: int = 17) -> DataFrame:
     """``docs`` with a struct column ``mix``: size, source_size, target, copies.
 
-    The sources' table is joined by source without a hint: it is as large as the
-    number of sources, which adaptive execution sees, and a source that holds most rows is
-    split as a skewed join.
+    The sources' table is written and read back, so that the planner knows its bytes: a small one goes to the
+    documents and no text is shuffled; of a large one a source that holds most rows is split as a skewed join.
     """
     size, number, mix = free_name(docs, "_size"), free_name(docs, "_number"), free_name(docs, "mix")
     # Made before the join, so that a reader of ``mix`` alone shuffles no texts.
     chance = uniform(seed, F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
     sized = docs.withColumns({size: n_words(F.col("text")), number: chance})
     sizes = sized.groupBy("source").agg(F.sum(size).alias("source_size"))
-    aimed = targets(sizes, weights, share, max_rate).select(F.struct("source", "source_size", "target").alias("_aim"))
+    path = scratch_path(docs.sparkSession, "targets")
+    targets(sizes, weights, share, max_rate).write.parquet(path)
+    aimed = docs.sparkSession.read.parquet(path).select(F.struct("source", "source_size", "target").alias("_aim"))
     joined = sized.join(aimed, F.col("source").eqNullSafe(F.col("_aim.source")))
     rate = F.when(F.col("_aim.source_size") > 0, F.col("_aim.target") / F.col("_aim.source_size")).otherwise(0.0)
     extra = F.col(number) < rate - F.floor(rate)
