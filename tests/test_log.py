@@ -184,3 +184,13 @@ def test_a_publish_that_stops_ends_right(spark, job, monkeypatch, name, times):
     daily.publish_day(spark, out, dt.date(2023, 12, 31))  # an older day leaves the pointer
     assert state.pointed(spark, f"{out}/published/latest").endswith("/2024-01-02")
     assert publish.alias_of(dt.date(2024, 1, 2)) in {r["alias"] for r in rows}
+
+
+def test_a_whole_version_has_the_documents_that_did_not_change(spark, job):
+    run, out = job
+    run(8)
+    daily.publish_day(spark, out, dt.date(2024, 1, 1), whole=True)
+    run(9, mark=8)
+    rows = daily.publish_day(spark, out, dt.date(2024, 1, 2), whole=True).where("snapshot = '2024-01-02'").collect()
+    assert sorted(r["uri"] for r in spark.read.json(f"{out}/published/2024-01-02/json/blog").collect()) == ["blog/0", "blog/1", "blog/2"]
+    assert [r["rows"] for r in rows] == [3]

@@ -77,13 +77,14 @@ def refresh(
     return doclog.committed(spark, log, name)
 
 
-def publish_day(spark: SparkSession, out: str, day: dt.date) -> DataFrame:
+def publish_day(spark: SparkSession, out: str, day: dt.date, whole: bool = False) -> DataFrame:
     """Publish what changed since the last published version as that day's version; return the catalog.
 
     First an intent names the commits that the day takes, so a run that goes on after a stop publishes the same ones. Then come
     changed documents as JSON by type, the keys of removed ones, the catalog's row for each type with its totals and the
     day's alias, and the ``latest`` pointer, which only moves to a later day. Every step is skipped when it is done.
-    Aliases of ``KEEP_DAYS`` days or more are taken away, and their snapshots are named by none.
+    Aliases of ``KEEP_DAYS`` days or more are taken away, and their snapshots are named by none. With ``whole`` the version holds
+    all documents that stand, for an index that is made anew for each day.
     """
     version, log, latest = f"{out}/published/{day:%Y-%m-%d}", f"{out}/documents", f"{out}/published/latest"
     if pointed(spark, f"{version}/_intent") is None:
@@ -95,7 +96,8 @@ def publish_day(spark: SparkSession, out: str, day: dt.date) -> DataFrame:
     entry = f"{folder}/day={day:%Y-%m-%d}"
     if not stage_done(spark, entry):
         news = doclog.changes(spark, log, intent["after"], intent["upto"])
-        save_frames(news.where(~F.col("removed")).select(*doclog.KEY, "doc"), f"{version}/frames")
+        docs = doclog.documents(spark, log, intent["upto"]) if whole else news.where(~F.col("removed"))
+        save_frames(docs.select(*doclog.KEY, "doc"), f"{version}/frames")
         publish_rows(spark.read.schema(doclog.DOCUMENT).parquet(f"{version}/frames"), f"{version}/json")
         news.where("removed").select(*doclog.KEY).write.mode("overwrite").json(f"{version}/removed")
         snapshot_rows(doclog.documents(spark, log, intent["upto"]), day, alias_of(day)).write.mode("overwrite").parquet(entry)
