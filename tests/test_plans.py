@@ -48,3 +48,14 @@ def test_phrases_go_to_the_texts(spark, sf, name):
 def test_no_cross_joins_in_the_costly_queries(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "Python" not in text
+
+
+@pytest.mark.parametrize("name", ["map_statements", "properties_per_type", "unique_properties"])
+def test_records_are_not_dealt_by_feed(spark, sf, name):
+    """Routes go to the records, however large these are: a feed with most records is no task of its own."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES[name](spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in text and "hashpartitioning(source_name" not in text and "BroadcastHashJoin" in text

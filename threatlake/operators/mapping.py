@@ -37,10 +37,18 @@ class MappingSpec:
     observed: Column | None = None
 
 
+def listed_routes(spark, rows: list[tuple[str, str]]) -> DataFrame:
+    """``(source_name, model)`` from a list of the configuration, sent to the records.
+
+    Feeds are few and their records many, so dealing records by feed would put a feed into one task. The hint is
+    needed: adaptive execution keeps a sort-merge join where most partitions of the small side are empty.
+    """
+    return F.broadcast(spark.createDataFrame(rows, "source_name string, model string"))
+
+
 def model_routes(spark, models: list[str]) -> DataFrame:
     """``(source_name, model)``: each model's own feed and its aliases."""
-    rows = [(source, model) for model in models for source in [model, *ALIASES.get(model, [])]]
-    return spark.createDataFrame(rows, "source_name string, model string")
+    return listed_routes(spark, [(source, model) for model in models for source in [model, *ALIASES.get(model, [])]])
 
 
 def route(records: DataFrame, routes: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import ntz_epoch
 from ..functions.ids import URL_BASE
 from ..operators.frames import FrameSpec
-from ..operators.mapping import MappingSpec, route, statements
+from ..operators.mapping import MappingSpec, listed_routes, route, statements
 from ..operators.merge import materialise
 from ..session import scratch_path
 from ..sources.cdr import with_json
@@ -259,8 +259,7 @@ SALES_ROUTES = [("geo", "geo"), ("crm", "crm"), ("shop", "shop"), ("shop-mirror"
 
 
 def sales_statements(spark: SparkSession, sf: str) -> DataFrame:
-    routes = spark.createDataFrame(SALES_ROUTES, "source_name string, model string")
-    return statements(route(sales_records(spark, sf), routes), sales_models())
+    return statements(route(sales_records(spark, sf), listed_routes(spark, SALES_ROUTES)), sales_models())
 
 
 def sales_graph(spark: SparkSession, sf: str) -> DataFrame:
@@ -277,7 +276,7 @@ def activity(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[M
     """Event records with one feed per team, their routes and the models of users and systems."""
     records = cdr(spark, sf).withColumn("source_name", F.col("team"))
     teams = [*TEAMS.values(), "isi"]
-    routes = spark.createDataFrame([(t, m) for t in teams for m in ("users", "systems")], "source_name string, model string")
+    routes = listed_routes(spark, [(t, m) for t in teams for m in ("users", "systems")])
     system = F.concat(F.lit("system/"), _json("targetSystem"))
     models = [
         MappingSpec("users", "User", F.concat(F.lit("user/"), _json_key("user")), {"kind": _json("kind")}, {"system": system}),
