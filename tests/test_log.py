@@ -194,3 +194,14 @@ def test_a_whole_version_has_the_documents_that_did_not_change(spark, job):
     rows = daily.publish_day(spark, out, dt.date(2024, 1, 2), whole=True).where("snapshot = '2024-01-02'").collect()
     assert sorted(r["uri"] for r in spark.read.json(f"{out}/published/2024-01-02/json/blog").collect()) == ["blog/0", "blog/1", "blog/2"]
     assert [r["rows"] for r in rows] == [3]
+
+
+def test_a_large_store_has_more_buckets(spark, tmp_path, monkeypatch):
+    """What a task holds of an increment follows the buckets, so these follow the rows the store starts with."""
+    monkeypatch.setattr(state, "BUCKET_ROWS", 10, raising=False)
+    root = str(tmp_path / "state")
+    state.upsert(spark, root, "", statements(spark, [(i, i) for i in range(50)]), 2)
+    new = state.upsert(spark, root, "1", statements(spark, [(i, i) for i in range(40, 60)] * 3), 2)
+    assert state.pointed(spark, f"{root}/_buckets") == "5"
+    assert sorted(int(r["value"]) for r in new.collect()) == list(range(50, 60))
+    assert state.read_state(spark, root).count() == 60 == state.read_state(spark, root).distinct().count()

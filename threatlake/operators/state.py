@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import STATEMENT, STATEMENT_COLUMNS
-from ..session import cut_lineage
+from ..session import distinct_rows, scratch_path
 from ..sources.cdr import INITIAL
 
 BUCKETS = 256
+#: A store that starts with more statements than its buckets hold by this number has more buckets.
+BUCKET_ROWS = 100_000
 
 
 def _path(spark: SparkSession, path: str):
@@ -67,12 +70,16 @@ def statement_id() -> Column:
     return F.unhex(F.sha2(F.concat(*coded).cast("binary"), 256))
 
 
-def _layout(spark: SparkSession, root: str, buckets: int) -> int:
-    """The store's number of buckets: what it was made with, else ``buckets``."""
+def _layout(spark: SparkSession, root: str, buckets: int, rows: int = 0) -> int:
+    """The store's number of buckets: what it was made with, else ``buckets``, or as many as its first ``rows`` need.
+
+    A task holds a bucket of new statements, so buckets that grew with the input would outgrow it.
+    """
     held = pointed(spark, f"{root}/_buckets")
     if held is None:
-        point_to(spark, f"{root}/_buckets", str(buckets))
-    return int(held or buckets)
+        held = str(max(buckets, math.ceil(rows / BUCKET_ROWS)))
+        point_to(spark, f"{root}/_buckets", held)
+    return int(held)
 
 
 def _columns() -> str:
@@ -117,15 +124,18 @@ def upsert(spark: SparkSession, root: str, increment: str, delta: DataFrame, buc
     Merging is a set union, so an upsert only adds the statements the store does
     not hold yet, as one more increment; nothing already written is rewritten. A
     repeated increment is a no-op. Statements meet by their id, so a hot entity is no
-    hot key, and repeats of one statement collapse before the shuffle.
+    hot key. They are written as parquet and read back first, so that they are made once and counted,
+    and every bucket is written as one file.
     """
     folder = increment_folder(root, increment)
     if not stage_done(spark, folder):
-        buckets = _layout(spark, root, buckets)
-        fresh = delta.select(*STATEMENT_COLUMNS).withColumn("sid", statement_id()).dropDuplicates(["sid"])
+        staged = scratch_path(spark, "fresh")
+        # Statements of one id are equal, so whole rows may be compared where they meet by their id.
+        distinct_rows(delta.select(*STATEMENT_COLUMNS).withColumn("sid", statement_id()), "sid").write.parquet(staged)
+        fresh = spark.read.schema(_columns()).parquet(staged)
+        buckets = _layout(spark, root, buckets, fresh.count())
         held_in = increments(spark, root)
-        if held_in:
-            fresh = unknown(store(spark, root, held_in, buckets), cut_lineage(fresh), buckets)
+        fresh = unknown(store(spark, root, held_in, buckets), fresh, buckets) if held_in else fresh.repartition(buckets, "sid")
         name = f"increment_{uuid.uuid4().hex}"
         spark.sql(f"CREATE TABLE {name} ({_columns()}) USING parquet CLUSTERED BY (sid) INTO {buckets} BUCKETS LOCATION '{folder}'")
         fresh.write.insertInto(name, overwrite=True)
