@@ -59,3 +59,11 @@ def test_records_are_not_dealt_by_feed(spark, sf, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" not in text and "hashpartitioning(source_name" not in text and "BroadcastHashJoin" in text
+
+
+@pytest.mark.parametrize("name", ["merge_statements", "ablate_evidence"])
+def test_statements_are_dealt_before_they_are_held(spark, sf, name):
+    """No distinct starts in the scan, where it would hold all rows of a split."""
+    lines = plan(QUERIES[name](spark, sf)).split("Initial Plan")[0].split("\n")
+    dealt = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(uri" in x)
+    assert any("HashAggregate" in x for x in lines[:dealt]) and not any("Aggregate" in x for x in lines[dealt:])

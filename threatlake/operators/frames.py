@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import SPREAD, cut_lineage
 from .mapping import TYPE
 from .merge import split_large, statement_item
 
@@ -118,7 +118,8 @@ def _nodes(
     if not spec.explicit:
         other = ~F.col("property").isin(TYPE, *literals)
         columns.append(listed(F.when(other, F.struct("property", "value"))).alias("other"))
-    nodes = rows.groupBy("uri", "part", "parts").agg(*columns)
+    # Dealt first: lists that start in the scan sort all rows of a split.
+    nodes = rows.repartition(SPREAD, "uri", "part", "parts").groupBy("uri", "part", "parts").agg(*columns)
     fields = [c for c in nodes.columns if c not in ("uri", "part", "parts")]
     return nodes.select("uri", "part", "parts", F.struct("uri", *fields).alias("node"))
 

@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import PROVENANCE, STATEMENT, STATEMENT_COLUMNS
-from ..session import cut_lineage
+from ..session import cut_lineage, distinct_rows
 
 
 def merge(*inputs: DataFrame) -> DataFrame:
     """Set union of statements.
 
-    Associative, commutative and idempotent. Equal statements collapse on the map
-    side, and whole statements are the shuffle key, so no entity is a hot key.
+    Associative, commutative and idempotent. Whole statements are the shuffle key, so no
+    entity is a hot key; repeats of one statement take no room where they meet.
     """
-    return reduce(DataFrame.unionByName, inputs).select(*STATEMENT_COLUMNS).distinct()
+    return distinct_rows(reduce(DataFrame.unionByName, inputs).select(*STATEMENT_COLUMNS))
 
 
 def materialise(statements: DataFrame, path: str) -> DataFrame:
@@ -105,7 +105,7 @@ def entities(statements: DataFrame, cap: int | None = None) -> DataFrame:
 
 def entity_provenance(statements: DataFrame) -> DataFrame:
     """Who said something of an entity, and when: a row each, since nothing bounds their number."""
-    return statements.select("uri", *PROVENANCE).distinct()
+    return distinct_rows(statements.select("uri", *PROVENANCE))
 
 
 def _values_of(name: Column) -> Column:

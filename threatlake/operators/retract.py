@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import SPREAD, cut_lineage
 from .frames import FrameSpec, affected, frame
 from .merge import ablate
 
@@ -17,8 +17,11 @@ DOCUMENT = ["doc_type", "uri"]
 
 
 def support(statements: DataFrame) -> DataFrame:
-    """For each fact how many statements say it, by publisher and observed day: a row each, whoever says it how often."""
-    return statements.groupBy(*FACT, "publisher", "observedDate").agg(F.count("*").alias("n"))
+    """For each fact how many statements say it, by publisher and observed day: a row each, whoever says it how often.
+
+    Statements are dealt by fact before they are counted, since the facts of a split would be held at once.
+    """
+    return statements.repartition(SPREAD, *FACT).groupBy(*FACT, "publisher", "observedDate").agg(F.count("*").alias("n"))
 
 
 def lost_facts(statements: DataFrame, exclude: list[str] | None = None, upto: dt.date | None = None) -> DataFrame:
