@@ -9,7 +9,9 @@ Vectors are dealt to the nearest of ``max_cells`` pivots at most (a sample by ha
 and bounded; it decides only which tiles are skipped) and cells into blocks of ``block`` at most. Two
 blocks meet in a tile unless the angle between their pivots, less both cells' widest
 angles, is over the threshold's angle. A tile writes each vector's count of links and
-the edges of a spanning forest, never the pairs.
+the edges of a spanning forest, never the pairs. Blocks are sent to their tiles in waves of at most ``share``
+times all vectors, and what a wave shuffled is removed before the next one, so disk follows the vectors though their
+tiles are as many as the square; the time stays that of the tiles.
 
 Each length has pivots, cells and tiles of its own, so vectors of different lengths never meet.
 
@@ -22,14 +24,15 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .graph import connected_components, hook
 
 _SLACK = 1e-9
@@ -53,6 +56,39 @@ def pivots_of(classes: DataFrame, block: int, max_cells: int) -> dict[int, np.nd
     return {d: unit_rows(np.array([np.frombuffer(v, "<f8") for v in own])) for d, own in held.items()}
 
 
+def waves_of(meet: list[tuple[int, int]], blocks: dict[int, int], share: float) -> list[list[tuple[int, int, int, int, int]]]:
+    """The tiles of cells that meet in waves: ``(i, j, first, last, blocks of j)``, for these blocks of ``i`` and all of ``j``.
+
+    A wave sends at most ``share`` times all blocks, or one block's tiles with one cell if these are more.
+    """
+    room = max(2, int(share * sum(blocks.values())))
+    waves, left = [[]], room
+    for i, j in meet:
+        at = 0
+        while at < blocks[i]:
+            most = 2 * blocks[j]  # blocks that are sent for one block of i
+            n = min(blocks[i] - at, max(left // most, 0 if waves[-1] else 1))
+            if n == 0:
+                waves.append([])
+                left = room
+                continue
+            waves[-1].append((i, j, at, at + n - 1, blocks[j]))
+            at, left = at + n, left - n * most
+    return [w for w in waves if w]
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What queries shuffle in here is removed when they end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Int8 steps, scales and the exact lengths of what they leave out."""
     scale = np.abs(unit).max(axis=1) / 127
@@ -106,7 +142,7 @@ def _tile(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"key": [names[x] for x in at], "links": count[at], "root": [names[x] for x in root[at]]})
 
 
-def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector: str = "embedding", block: int = 4096, max_cells: int = 1024) -> DataFrame:
+def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector: str = "embedding", block: int = 4096, max_cells: int = 1024, share: float = 4) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``df``."""
     given = df.select(F.col(id_col).alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     kind = given.schema["vec_id"].dataType.simpleString()
@@ -143,7 +179,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
     for d, own in centres.items():
         angles = np.arccos(np.clip(own @ own.T, -1, 1))
         cells = [firsts[d] + k for k in range(len(own)) if firsts[d] + k in blocks]
-        meet += [(i, j, blocks[i], blocks[j]) for i in cells for j in cells if i <= j and angles[i - firsts[d], j - firsts[d]] <= reach[i] + reach[j] + wide]
+        meet += [(i, j) for i in cells for j in cells if i <= j and angles[i - firsts[d], j - firsts[d]] <= reach[i] + reach[j] + wide]
 
     spark = df.sparkSession
     sizes = F.broadcast(spark.createDataFrame(list(blocks.items()), "cell int, _blocks int"))
@@ -157,14 +193,19 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
         })
 
     packed = placed.select("cell", "part", "key", "times", "vector").groupBy("cell", "part").applyInPandas(pack, "cell int, part int, keys binary, times binary, vectors binary")
-    pairs = spark.createDataFrame(meet, "i int, j int, bi int, bj int")
-    pairs = pairs.withColumn("pi", F.explode(F.sequence(F.lit(0), F.col("bi") - 1))).withColumn("pj", F.explode(F.sequence(F.lit(0), F.col("bj") - 1)))
-    pairs = pairs.where("i < j or pi <= pj")
-    tile = F.concat_ws("-", "i", "pi", "j", "pj").alias("tile")
-    one = pairs.select(F.col("i").alias("cell"), F.col("pi").alias("part"), tile, F.lit(0).alias("side"))
-    two = pairs.where("i < j or pi < pj").select(F.col("j").alias("cell"), F.col("pj").alias("part"), tile, F.lit(1).alias("side"))
-    sides = one.unionByName(two).join(packed, ["cell", "part"]).select("tile", "side", "keys", "times", "vectors")
-    found = cut_lineage(sides.groupBy("tile").applyInPandas(lambda g: _tile(g, threshold), "key binary, links bigint, root binary"))
+    tile, form, path = F.concat_ws("-", "i", "pi", "j", "pj").alias("tile"), "key binary, links bigint, root binary", scratch_path(spark, "tiles")
+    with shuffles_removed(spark):
+        packed = cut_lineage(packed)
+        spark.createDataFrame([], form).write.parquet(path)
+        for wave in waves_of(meet, blocks, share):
+            pairs = spark.createDataFrame(wave, "i int, j int, first int, last int, bj int")
+            pairs = pairs.withColumn("pi", F.explode(F.sequence("first", "last"))).withColumn("pj", F.explode(F.sequence(F.lit(0), F.col("bj") - 1)))
+            pairs = pairs.where("i < j or pi <= pj")
+            one = pairs.select(F.col("i").alias("cell"), F.col("pi").alias("part"), tile, F.lit(0).alias("side"))
+            two = pairs.where("i < j or pi < pj").select(F.col("j").alias("cell"), F.col("pj").alias("part"), tile, F.lit(1).alias("side"))
+            sides = one.unionByName(two).join(packed, ["cell", "part"]).select("tile", "side", "keys", "times", "vectors")
+            sides.groupBy("tile").applyInPandas(lambda g: _tile(g, threshold), form).write.mode("append").parquet(path)
+    found = spark.read.schema(form).parquet(path)
 
     edges = found.where(F.col("key") != F.col("root")).select(F.col("key").alias("a"), F.col("root").alias("b"))
     joined = connected_components(edges).withColumnRenamed("node", "key")
