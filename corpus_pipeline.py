@@ -37,9 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every copy, checked by decoding them again."""
-    model = tokenizer()
-    ids = pieces.encoded(docs.select("doc_id", "source", "text"), model, "ids").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), "ids")
-    back = pieces.decoded(ids, model, "ids", "decoded")
+    given = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    back = pieces.encoded_and_back(given, tokenizer(), "ids", "decoded")
     return back.select("doc_id", "source", "ids", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -112,35 +112,56 @@ def _append(batch: pa.RecordBatch, name: str, made: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
 
 
-def encoded(docs: DataFrame, model: str, into: str | None = None, table: int = TABLE, slice_rows: int = 512) -> DataFrame:
-    """``docs`` with a binary column of ids, little-endian unsigned 32-bit integers."""
-    name = into or free_name(docs, "ids")
-    load(model)
+Batches = Iterator[pa.RecordBatch]
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoding(model: str, into: str, table: int, slice_rows: int) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         encoder = Encoder(model, table)
         for whole in batches:
             for batch in slices(whole, slice_rows):
                 texts = [t.as_py() or "" for t in batch.column(batch.schema.get_field_index("text"))]
                 ids = [i.astype("<u4").tobytes() for i in encoder.encode(texts)]
-                yield _append(batch, name, pa.array(ids, pa.binary()))
+                yield _append(batch, into, pa.array(ids, pa.binary()))
         del encoder
         release()
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
-
+    return run
 
-def decoded(rows: DataFrame, model: str, ids: str = "ids", into: str | None = None, slice_rows: int = 512) -> DataFrame:
-    """``rows`` with the text of a binary column of ids; null ids give null."""
-    name = into or free_name(rows, "decoded")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoding(model: str, ids: str, into: str, slice_rows: int) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         library = load(model)
         for whole in batches:
             for batch in slices(whole, slice_rows):
                 held = [b.as_py() for b in batch.column(batch.schema.get_field_index(ids))]
                 texts = [None if b is None else library.decode(np.frombuffer(b, "<u4").tolist()) for b in held]
-                yield _append(batch, name, pa.array(texts, pa.string()))
+                yield _append(batch, into, pa.array(texts, pa.string()))
         release()
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
+    return run
+
+
+def encoded(docs: DataFrame, model: str, into: str | None = None, table: int = TABLE, slice_rows: int = 512) -> DataFrame:
+    """``docs`` with a binary column of ids, little-endian unsigned 32-bit integers."""
+    name = into or free_name(docs, "ids")
+    load(model)
+    return docs.mapInArrow(_encoding(model, name, table, slice_rows), T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
+
+
+def decoded(rows: DataFrame, model: str, ids: str = "ids", into: str | None = None, slice_rows: int = 512) -> DataFrame:
+    """``rows`` with the text of a binary column of ids; null ids give null."""
+    name = into or free_name(rows, "decoded")
+    return rows.mapInArrow(_decoding(model, ids, name, slice_rows), T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
+
+
+def encoded_and_back(docs: DataFrame, model: str, ids: str = "ids", back: str = "decoded", table: int = TABLE, slice_rows: int = 512) -> DataFrame:
+    """``decoded(encoded(docs))`` in one Python worker a task.
+
+    One operator behind the other has two workers a task, and Spark holds a whole batch of texts and ids for the second; here
+    ``slice_rows`` rows go from the one to the other.
+    """
+    load(model)
+    encode, decode = _encoding(model, ids, table, slice_rows), _decoding(model, ids, back, slice_rows)
+    fields = [*docs.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(back, T.StringType())]
+    return docs.mapInArrow(lambda batches: decode(encode(batches)), T.StructType(fields))
