@@ -8,7 +8,7 @@ Each hit is worth its term's and edits' log-odds, times a score of its window: w
 a word of reporting are quoted and count apart. A logistic regression over these sums gives the score.
 
 Lexicon and regression are fitted on at most ``sample`` labelled documents, those of the smallest id hashes; near copies in
-it count once, by their words' least hash. All texts are scored whole.
+it count once, by the least hash of their runs of three words; texts that only share their vocabulary are no copies. All texts are scored whole.
 
 Defined cases: a null or empty text has no hits, which is a score too; a label that is null is none, of several labels of one
 id the greatest holds, of several texts the least is learned from; rows without an id are held out; with one
@@ -154,7 +154,8 @@ def window_score(text: str, words: list[tuple[str, int, int]], at: int) -> float
     Straight marks quote if one of them is open before the word, others if they stand on both sides.
     """
     first, last = max(0, at - WINDOW), min(len(words) - 1, at + WINDOW)
-    before, after = text[words[first][1] : words[at][1]], text[words[at][2] : words[last][2]]
+    # A window from the text's first word has the marks before that word.
+    before, after = text[words[first][1] if first else 0 : words[at][1]], text[words[at][2] : words[last][2]]
     if any(m in before for m in MARKS) and any(m in after for m in MARKS):
         opened = sum(before.count(m) for m in MARKS)
         if opened % 2 or not before.count('"'):
@@ -223,11 +224,12 @@ def beginnings(rows: DataFrame, only: frozenset[str] | None = None) -> DataFrame
         for batch in (part for whole in batches for part in slices(whole, 256)):
             toxic, marks, stems = [], [], []
             for text, y in zip(batch.column(0), batch.column(1)):
-                words = set(TOKEN.findall((text.as_py() or "").lower()))
-                own = {w[:k] for w in words for k in STEM if k <= len(w)}
+                words = TOKEN.findall((text.as_py() or "").lower())
+                own = {w[:k] for w in set(words) for k in STEM if k <= len(w)}
                 own = own if only is None else own & only
                 toxic.append(y.as_py())
-                marks.append(min((xxhash.xxh64_intdigest(w, 1) >> 1 for w in words), default=0))
+                runs = {" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))}
+                marks.append(min(xxhash.xxh64_intdigest(r, 1) >> 1 for r in runs))
                 stems.append(sorted(own))
             yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(marks, pa.int64()), pa.array(stems, pa.list_(pa.string()))], names=["toxic", "mark", "stems"])
         release()
