@@ -2,9 +2,10 @@
 
 import pytest
 
-from threatlake.operators import audit
+from threatlake.operators import audit, merge
 from threatlake.plans import views
 from threatlake.plans.catalog import QUERIES
+from threatlake.schema import STATEMENT
 from threatlake.session import shared_dir
 
 WRITING = {n for n in QUERIES if n.startswith(("stream_", "state_", "cdr_partition", "cdr_pruned", "frame_", "publish_", "merged_", "search_", "audit_overwrite", "audit_saved", "ablate_retraction", "document_log", "evidence_run", "csv_run", "refresh_", "gt_series_files", "gt_histogram_files", "json_line"))}
@@ -67,3 +68,14 @@ def test_statements_are_dealt_before_they_are_held(spark, sf, name):
     lines = plan(QUERIES[name](spark, sf)).split("Initial Plan")[0].split("\n")
     dealt = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(uri" in x)
     assert any("HashAggregate" in x for x in lines[:dealt]) and not any("Aggregate" in x for x in lines[dealt:])
+
+
+def test_entities_are_dealt_before_they_are_listed(spark, tmp_path):
+    """No list starts in the scan, where all rows of a split would be sorted."""
+    row = ("u", "T", "p", "v", None, "s", "f", None, None)
+    spark.createDataFrame([row, row], STATEMENT).write.parquet(str(tmp_path / "s"))
+    made = merge.entities(spark.read.schema(STATEMENT).parquet(str(tmp_path / "s")))
+    lines = plan(made).split("Initial Plan")[0].split("\n")
+    dealt = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(uri" in x)
+    assert any("Aggregate" in x for x in lines[:dealt]) and not any("Aggregate" in x for x in lines[dealt:])
+    assert [(r.uri, r.types, r.props) for r in made.collect()] == [("u", ["T"], {"p": ["v"]})]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import PROVENANCE, STATEMENT, STATEMENT_COLUMNS
-from ..session import cut_lineage, distinct_rows
+from ..session import SPREAD, cut_lineage, distinct_rows
 
 
 def merge(*inputs: DataFrame) -> DataFrame:
@@ -93,7 +93,8 @@ def entities(statements: DataFrame, cap: int | None = None) -> DataFrame:
     """
     cells = statements.select("uri", "property", F.coalesce("value", "object_uri").alias("value"), "type")
     cells = split_large(cells, "uri", F.concat_ws("|", "property", "value"), cap)
-    grouped = cells.groupBy("uri", "part", "parts").agg(
+    # Dealt first: lists that start in the scan sort all rows of a split.
+    grouped = cells.repartition(SPREAD, *(["uri"] if cap is None else ["uri", "part"])).groupBy("uri", "part", "parts").agg(
         F.array_sort(F.collect_set("type")).alias("types"),
         F.array_sort(F.collect_set(F.struct("property", "value"))).alias("pairs"),
     )
