@@ -15,8 +15,13 @@ ALIAS_PREFIX = "data-"
 
 
 def unique_documents(docs: DataFrame) -> DataFrame:
-    """Each document once. Documents of one key that differ, as two frames may make, all stay."""
-    return docs.groupBy("doc_type", "uri", "part", F.md5("doc").alias("_hash")).agg(F.first("doc").alias("doc")).drop("_hash")
+    """Each document once. Documents of one key that differ, as two frames may make, all stay.
+
+    They are dealt by key and hash first: a grouping that starts in the scan sorts all documents of a split.
+    """
+    key = ["doc_type", "uri", "part", "_hash"]
+    dealt = docs.select(*key[:-1], F.md5("doc").alias("_hash"), "doc").repartition(*key)
+    return dealt.groupBy(*key).agg(F.first("doc").alias("doc")).drop("_hash")
 
 
 def save_frames(docs: DataFrame, folder: str) -> None:
