@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import SPREAD, cut_lineage
+from ..session import SPREAD, cut_lineage, distinct_keys
 from .mapping import TYPE
 from .merge import split_large, statement_item
 
@@ -84,7 +84,7 @@ def _nodes(
     rows = own.where(~is_edge).select("uri", "part", "parts", "property", F.coalesce("value", "object_uri").alias("value"))
     for name, inner in edges.items():
         edge = own.where((F.col("property") == name) & F.col("object_uri").isNotNull())
-        reached = None if only is None else cut_lineage(edge.select(F.col("object_uri").alias("uri")).distinct())
+        reached = None if only is None else cut_lineage(distinct_keys(edge.select("uri", "object_uri"), "object_uri").toDF("uri"))
         child = _nodes(statements, inner, cap, spill, f"{doc_type}.{name}", reached)
         if cap is not None:
             large = child.where(F.col("parts") > 1)
@@ -136,15 +136,15 @@ def affected(statements: DataFrame, spec: FrameSpec, changed: DataFrame) -> Data
     These are the changed ones and those that link, over the frame's embedded
     links, to a changed one. ``changed`` is a stored table of distinct uris.
     """
-    own = of_types(statements, {spec.type})
-    hit = own.join(changed, "uri", "left_semi").select("uri")
+    own = of_types(statements, {spec.type}).select("uri", "property", "value", "object_uri")
+    hit = own.join(changed, "uri", "left_semi")
     for name, inner in spec.props.items():
         # Links without a frame show only the uri, which a change of its entity leaves alone.
         if inner is not None:
             reached = affected(statements, inner, changed).withColumnRenamed("uri", "object_uri")
             edge = own.where(F.col("property") == name)
-            hit = hit.unionByName(edge.join(reached, "object_uri", "left_semi").select("uri"))
-    return cut_lineage(hit.distinct())
+            hit = hit.unionByName(edge.join(reached, "object_uri", "left_semi"))
+    return cut_lineage(distinct_keys(hit, "uri"))
 
 
 def frame(

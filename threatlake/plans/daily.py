@@ -17,7 +17,7 @@ from ..operators.mapping import MappingSpec, route, statements
 from ..operators.publish import alias_of, expired_aliases, publish_rows, save_frames, snapshot_rows, unique_documents
 from ..operators.state import BUCKETS, increment_folder, increments, point_to, pointed, pointed_at, read_state, stage, stage_done, upsert
 from ..schema import STATEMENT
-from ..session import cut_lineage
+from ..session import cut_lineage, distinct_keys
 from ..sources.cdr import INITIAL, since, with_json
 
 CATALOG = "snapshot date, doc_type string, rows bigint, bytes bigint, alias string"
@@ -70,7 +70,7 @@ def refresh(
     def changed() -> DataFrame:
         if not top["folders"]:
             return doclog.delta(spark, log, framed(None), buckets=buckets)
-        uris = cut_lineage(spark.read.schema(STATEMENT).parquet(*pending).select("uri").distinct())
+        uris = cut_lineage(distinct_keys(spark.read.schema(STATEMENT).parquet(*pending), "uri"))
         return doclog.delta(spark, log, cut_lineage(framed(uris)), buckets=buckets)
 
     doclog.commit(spark, log, name, changed, [f.rsplit("increment=", 1)[1] for f in pending])
