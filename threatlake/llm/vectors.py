@@ -24,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -33,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, scratch_path
+from .common import shuffles_removed
 from .graph import connected_components, hook
 
 _SLACK = 1e-9
@@ -77,18 +77,6 @@ def waves_of(meet: list[tuple[int, int]], blocks: dict[int, int], share: float)
     return [w for w in waves if w]
 
 
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """What queries shuffle in here is removed when they end."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Int8 steps, scales and the exact lengths of what they leave out."""
     scale = np.abs(unit).max(axis=1) / 127
