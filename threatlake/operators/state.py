@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import STATEMENT, STATEMENT_COLUMNS
-from ..session import distinct_rows, scratch_path
+from ..session import distinct_rows, drop_path, scratch_path, shuffles_removed
 from ..sources.cdr import INITIAL
 
 BUCKETS = 256
 #: A store that starts with more statements than its buckets hold by this number has more buckets.
 BUCKET_ROWS = 100_000
+#: An increment goes to the store in waves of about so many statements, ``WAVES`` at most, as each reads the staged ones again.
+WAVE_ROWS, WAVES = 8_000_000, 8
 
 
 def _path(spark: SparkSession, path: str):
@@ -65,25 +67,32 @@ def read_increments(spark: SparkSession, root: str, fmt: str = "parquet") -> Dat
 
 
 def statement_id() -> Column:
-    """The content address of a statement: equal ones have one id, whoever sends them."""
-    coded = [F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string"))) for c in STATEMENT_COLUMNS]
-    return F.unhex(F.sha2(F.concat(*coded).cast("binary"), 256))
+    """A hash of the whole statement: equal ones have one id, whoever sends them.
+
+    Different ones may share it, so whole statements are compared where ids meet. An id of eight bytes is
+    most of what a stored statement takes even so.
+    """
+    return F.xxhash64(*STATEMENT_COLUMNS)
 
 
-def _layout(spark: SparkSession, root: str, buckets: int, rows: int = 0) -> int:
-    """The store's number of buckets: what it was made with, else ``buckets``, or as many as its first ``rows`` need.
+def _layout(spark: SparkSession, root: str, buckets: int, first: DataFrame | None = None) -> int:
+    """The store's number of buckets: what it was made with, else ``buckets``, or as many as its ``first`` statements need.
 
-    A task holds a bucket of new statements, so buckets that grew with the input would outgrow it.
+    A task holds a bucket of new statements, so buckets that grew with the input would outgrow it. Statements that come
+    more than once count as one, about.
     """
     held = pointed(spark, f"{root}/_buckets")
     if held is None:
+        rows = first.count() if first is not None else 0
+        if rows > buckets * BUCKET_ROWS:
+            rows = min(rows, first.agg(F.approx_count_distinct(statement_id(), 0.01)).head()[0])
         held = str(max(buckets, math.ceil(rows / BUCKET_ROWS)))
         point_to(spark, f"{root}/_buckets", held)
     return int(held)
 
 
 def _columns() -> str:
-    return ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in STATEMENT.fields), "sid binary"])
+    return ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in STATEMENT.fields), "sid bigint", "bucket int"])
 
 
 def store(spark: SparkSession, root: str, folders: list[str], buckets: int = BUCKETS) -> DataFrame:
@@ -108,14 +117,19 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 
 
 def unknown(held: DataFrame, fresh: DataFrame, buckets: int) -> DataFrame:
-    """Rows of ``fresh`` (stored, with ``sid``) that the store does not hold.
+    """Rows of ``fresh`` (with ``sid``) that the store does not hold.
 
-    Bucket meets bucket: only ``fresh`` is shuffled. What is known of it is found by streaming the store past it, so a
-    small increment is broadcast to the store's scan, and the store is not sorted for it.
+    Bucket meets bucket: only ``fresh`` is shuffled, and once: an anti-join would be moved below its shuffle, so what is not known is
+    what an outer join finds nothing for. Statements are equal where their ids and all their columns are; the
+    latter is asked by two bounds, since by an equation that nulls may meet the planner would deal both sides.
     """
+    def equal(left: DataFrame, right: DataFrame) -> Column:
+        one, other = (F.struct(*[side[c] for c in STATEMENT_COLUMNS]) for side in (left, right))
+        return (left["sid"] == right["sid"]) & (one <= other) & (one >= other)
+
     dealt = fresh.repartition(buckets, "sid")
-    known = held.select("sid").join(dealt.select("sid"), "sid", "left_semi")
-    return dealt.join(known, "sid", "left_anti").select(*fresh.columns)
+    known = held.join(dealt, equal(held, dealt), "left_semi").select(*STATEMENT_COLUMNS, "sid", F.lit(True).alias("_known"))
+    return dealt.join(known, equal(dealt, known), "left").where(F.col("_known").isNull()).select(*[dealt[c] for c in fresh.columns])
 
 
 def upsert(spark: SparkSession, root: str, increment: str, delta: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -124,22 +138,39 @@ def upsert(spark: SparkSession, root: str, increment: str, delta: DataFrame, buc
     Merging is a set union, so an upsert only adds the statements the store does
     not hold yet, as one more increment; nothing already written is rewritten. A
     repeated increment is a no-op. Statements meet by their id, so a hot entity is no
-    hot key. They are written as parquet and read back first, so that they are made once and counted,
-    and every bucket is written as one file.
+    hot key. They are written as parquet and read back first, so that they are made once and counted; in the order in which
+    they are made they take little room. A wave then takes a range of buckets, writes each as one file, and what it
+    shuffled is removed before the next one, so that disk follows the store and not what is dealt for it.
     """
     folder = increment_folder(root, increment)
     if not stage_done(spark, folder):
-        staged = scratch_path(spark, "fresh")
-        # Statements of one id are equal, so whole rows may be compared where they meet by their id.
-        distinct_rows(delta.select(*STATEMENT_COLUMNS).withColumn("sid", statement_id()), "sid").write.parquet(staged)
-        fresh = spark.read.schema(_columns()).parquet(staged)
-        buckets = _layout(spark, root, buckets, fresh.count())
-        held_in = increments(spark, root)
-        fresh = unknown(store(spark, root, held_in, buckets), fresh, buckets) if held_in else fresh.repartition(buckets, "sid")
-        name = f"increment_{uuid.uuid4().hex}"
-        spark.sql(f"CREATE TABLE {name} ({_columns()}) USING parquet CLUSTERED BY (sid) INTO {buckets} BUCKETS LOCATION '{folder}'")
-        fresh.write.insertInto(name, overwrite=True)
-        spark.sql(f"DROP TABLE {name}")  # its files stay
+        staged, name = scratch_path(spark, "fresh"), f"increment_{uuid.uuid4().hex}"
+        try:
+            delta.select(*STATEMENT_COLUMNS).write.option("compression", "zstd").parquet(staged)
+            fresh = spark.read.schema(STATEMENT).parquet(staged)
+            buckets = _layout(spark, root, buckets, fresh)
+            held_in = increments(spark, root)
+            held = store(spark, root, held_in, buckets) if held_in else None
+            # Not a wave but the whole increment leaves a success mark.
+            spark.sql(
+                f"CREATE TABLE {name} ({_columns()}) USING parquet OPTIONS (compression 'zstd', 'mapreduce.fileoutputcommitter.marksuccessfuljobs' 'false') "
+                f"CLUSTERED BY (sid) INTO {buckets} BUCKETS LOCATION '{folder}'"
+            )
+            bucket = F.pmod(F.hash("sid"), F.lit(buckets))  # as Spark deals them
+            waves = min(WAVES, buckets, max(1, math.ceil(fresh.count() / WAVE_ROWS)))
+            for wave in range(waves):
+                # Files of other buckets are passed over; those of a store without the column are not, and fail.
+                taken = F.col("bucket").isNull() | F.col("bucket").between(wave * buckets // waves, (wave + 1) * buckets // waves - 1)
+                some = fresh.withColumn("sid", statement_id()).withColumn("bucket", bucket).where(taken)
+                new = distinct_rows(some.select(*STATEMENT_COLUMNS)).withColumn("sid", statement_id())
+                new = unknown(held.where(taken), new, buckets) if held_in else new.repartition(buckets, "sid")
+                with shuffles_removed(spark):
+                    new.withColumn("bucket", bucket).write.insertInto(name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")  # its files stay
+            drop_path(spark, staged)
+        done, fs = _path(spark, f"{folder}/_SUCCESS")
+        fs.create(done, True).close()
     return spark.read.schema(STATEMENT).parquet(folder)
 
 
