@@ -69,8 +69,8 @@ def read_increments(spark: SparkSession, root: str, fmt: str = "parquet") -> Dat
 def statement_id() -> Column:
     """A hash of the whole statement: equal ones have one id, whoever sends them.
 
-    Different ones may share it, so whole statements are compared where ids meet. An id of eight bytes is
-    most of what a stored statement takes even so.
+    Different ones may share it, so whole statements are compared where ids meet. Even an id of
+    eight bytes is half of what a stored statement takes.
     """
     return F.xxhash64(*STATEMENT_COLUMNS)
 
